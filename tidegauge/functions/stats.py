@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.functions.special import chi2_ppf, chi2_sf
 
@@ -33,7 +34,7 @@ def ks_pvalue(statistic: Column | str, n: Column | str, m: Column | str) -> Colu
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_pvalue(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Upper tail for (statistic, degrees of freedom); NULL stays NULL."""
     for stat, dof in batches:

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.functions.special import kendall_tail
 
@@ -25,7 +26,7 @@ def _trend_p(n: int, concordant: int, discordant: int, tie_pairs: int, tie_term:
     return math.erfc(abs(concordant - discordant) / math.sqrt(variance) / math.sqrt(2.0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def trend_pvalue(
     batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]],
 ) -> Iterator[pd.Series]:

@@ -294,7 +294,7 @@ def alarm_predicate(spark, d):
         F.avg(F.when(F.col("event_type") == "error", 0.0).when(F.col("event_type") == "view", 0.01)).alias("p"),
         (F.avg("value") / 100).alias("e"),
     )
-    return rows.select("user_id", stats.alarm("p", "e", 0.005, 0.5).alias("alarm"))
+    return rows.select("user_id", stats.alarm("p", "e", 0.0051, 0.5).alias("alarm"))
 
 
 # --- joins -----------------------------------------------------------------
