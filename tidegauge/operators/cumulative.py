@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.clean import finite, long_numeric, quoted
@@ -33,23 +33,30 @@ def sketch_features(
 
     One map-side-combined aggregate; the result is one row.
     """
+    return sketch_with(df, features, (), rows_per_bucket=rows_per_bucket)[0]
+
+
+def sketch_with(
+    df: DataFrame, features: Sequence[str], extra: Sequence[Column], *, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> tuple[dict[str, tuple[int, list[float]]], Row | None]:
+    """The sketch together with other aggregates of the same pass."""
     names = [f for f in features if f in df.columns]
-    if not names:
-        return {}
+    if not names and not extra:
+        return {}, None
     points = ", ".join(f"{i / MAX_BUCKETS!r}D" for i in range(1, MAX_BUCKETS))
-    cols = [finite(quoted(f)).alias(f"v{i}") for i, f in enumerate(names)]
-    aggs = []
+    aggs = list(extra)
+    columns = {f"__v{i}": finite(quoted(f)) for i, f in enumerate(names)}
     for i, _ in enumerate(names):
         aggs += [
-            F.count(f"v{i}").alias(f"n{i}"),
-            F.expr(f"approx_percentile(v{i}, array({points}), {SKETCH_ACCURACY})").alias(f"p{i}"),
+            F.count(f"__v{i}").alias(f"n{i}"),
+            F.expr(f"approx_percentile(__v{i}, array({points}), {SKETCH_ACCURACY})").alias(f"p{i}"),
         ]
-    row = df.select(*cols).agg(*aggs).first()
+    row = df.withColumns(columns).agg(*aggs).first()
     out = {}
     for i, f in enumerate(names):
         n, grid = row[f"n{i}"], row[f"p{i}"] or []
         out[f] = (n, thin(sorted(set(grid)), n, rows_per_bucket))
-    return out
+    return out, row
 
 
 def thin(grid: Sequence[float], n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:

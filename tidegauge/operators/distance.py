@@ -116,14 +116,22 @@ def numeric_statistics(
     long = long_numeric(cur, spec.num, keep, edges=profile.edges, splits=splits)
     rows = unit_counts(long, by, ["feature", "bucket", "bin", "value"], window)
 
-    reference = _with_bucket(profile.value_counts, splits)
-    null_by = [F.lit(None).cast(rows.schema[b].dataType).alias(b) for b in out_by]
-    both = rows.select(*out_by, "feature", "bucket", "bin", "value", "n", F.lit(None).cast("long").alias("n_ref")).unionByName(
-        reference.select(
-            *null_by, "feature", "bucket", F.lit(None).cast("int").alias("bin"), "value",
-            F.lit(None).cast("long").alias("n"), "n_ref",
+    # size of each window's sample, and how much of it lies below each bucket
+    groups = Window.partitionBy(*out_by, "feature")
+    if bucketed:
+        totals = rows.groupBy(*out_by, "feature", "bucket").agg(F.sum("n").alias("n"))
+        before = groups.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(
+            *out_by, "feature", "bucket",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cur_off"),
+            F.sum("n").over(groups).alias("n_cur_valid"),
         )
-    )
+        rows = keyed_join(rows, offsets, [*out_by, "feature", "bucket"])
+    else:
+        rows = rows.withColumn("cur_off", F.lit(0).cast("long")).withColumn("n_cur_valid", F.lit(None).cast("long"))
+
+    reference = _with_bucket(profile.value_counts, splits).select("feature", "bucket", "value", "n_ref")
+    both = rows.unionByName(reference, allowMissingColumns=True)
     # reference distribution at each window value: peers included, then before it
     ordered = Window.partitionBy("feature", "bucket").orderBy("value")
     located = both.withColumn(
@@ -134,33 +142,20 @@ def numeric_statistics(
         "cur_upto", F.sum("n").over(own.rangeBetween(Window.unboundedPreceding, 0))
     ).withColumn("cur_at", F.sum("n").over(own.rangeBetween(0, 0)))
 
-    finite_n = F.when(F.abs("value") < float("inf"), F.col("n"))
     if bucketed:
-        totals = rows.groupBy(*out_by, "feature", "bucket").agg(F.sum("n").alias("n"))
-        groups = Window.partitionBy(*out_by, "feature")
-        before = groups.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        cur_off = totals.select(
-            *out_by, "feature", "bucket",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cur_off"),
-            F.sum("n").over(groups).alias("n_cur_valid"),
-        )
-        ref_rows = [
-            (f, b) for f in spec.num for b in range(len(splits.get(f, ())) + 1)
-        ]
-        ref_totals = metadata_table(spark, ref_rows, "feature string, bucket int").join(
+        slots = [(f, b) for f in spec.num for b in range(len(splits.get(f, ())) + 1)]
+        ref_totals = metadata_table(spark, slots, "feature string, bucket int").join(
             reference.groupBy("feature", "bucket").agg(F.sum("n_ref").alias("n_ref")), ["feature", "bucket"], "left"
         )
         ref_before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        # one row per feature and bucket
         ref_off = ref_totals.select(
             "feature", "bucket", F.coalesce(F.sum("n_ref").over(ref_before), F.lit(0)).alias("ref_off")
         )
-        located = keyed_join(
-            located, cur_off.join(F.broadcast(ref_off), ["feature", "bucket"]), [*out_by, "feature", "bucket"]
-        )
+        located = located.join(F.broadcast(ref_off), ["feature", "bucket"])
     else:
-        located = located.withColumn("cur_off", F.lit(0)).withColumn("ref_off", F.lit(0)).withColumn(
-            "n_cur_valid", F.max("cur_upto").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        )
+        whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        located = located.withColumn("ref_off", F.lit(0)).withColumn("n_cur_valid", F.max("cur_upto").over(whole))
     sizes = profile.feature_table(spark).where("kind = 'num'").select("feature", "n_ref_valid")
     located = located.join(F.broadcast(sizes), "feature")
     f_ref = (F.col("ref_off") + F.col("ref_upto")) / F.col("n_ref_valid")
@@ -169,20 +164,28 @@ def numeric_statistics(
     g_cur = (F.col("cur_off") + F.col("cur_upto") - F.col("cur_at")) / F.col("n_cur_valid")
     by_bin = located.groupBy(*out_by, "feature", "bin").agg(
         F.max("n_cur_valid").alias("n_cur_valid"),
-        F.sum(finite_n).alias("n"),
+        F.sum("n").alias("n"),
         F.max(F.greatest(F.abs(f_ref - f_cur), F.abs(g_ref - g_cur))).alias("ks"),
     )
-    ks = by_bin.groupBy(*out_by, "feature").agg(
-        F.max("n_cur_valid").alias("n_cur_valid"), F.max("ks").alias("ks"),
-        F.sum("n").alias("n_cur_finite"),
-        F.collect_list(F.struct("bin", "n")).alias("bins"),
+    # at most bins+1 rows per group from here on; a NULL bin holds the infinities
+    sized = by_bin.withColumn(
+        "n_cur_finite", F.sum(F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)).over(groups)
+    )
+    placed = sized.join(F.broadcast(profile.bin_table(spark)), ["feature", "bin"], "left")
+    term = psi_term(F.col("n") / F.col("n_cur_finite"), F.col("n_ref_bin") / F.col("n_ref_finite_bin"))
+    merged = placed.groupBy(*out_by, "feature").agg(
+        F.max("n_cur_valid").alias("n_cur_valid"),
+        F.max("n_cur_finite").alias("n_cur_finite"),
+        F.max("n_ref_finite_bin").alias("n_ref_finite"),
+        F.max("ks").alias("ks"),
+        F.sum(term - F.col("absent_bin")).alias("present"),
+    )
+    absent = profile.feature_table(spark).where("kind = 'num'").select("feature", "absent")
+    measurable = (F.col("n_cur_finite") >= MIN_VALUES) & (F.col("n_ref_finite") >= MIN_VALUES)
+    return merged.join(F.broadcast(absent), "feature").select(
+        *out_by, "feature", "n_cur_valid", "n_cur_finite", "ks",
+        F.when(measurable, F.col("present") + F.col("absent")).alias("psi"),
     )
-    # at most bins+1 entries per group
-    spread = ks.select(*out_by, "feature", F.explode("bins").alias("b")).select(
-        *out_by, "feature", "b.bin", "b.n"
-    ).where("bin is not null")
-    psi = psi_from_bins(spread, profile, out_by).drop("n_cur_finite")
-    return keyed_join(ks.drop("bins"), psi, [*out_by, "feature"], "left")
 
 
 def categorical_statistics(

@@ -14,8 +14,8 @@ from math import log
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clean import finite, long_categorical, long_numeric, number, quoted
-from tidegauge.operators.cumulative import ROWS_PER_BUCKET, reference_edges, sketch_features
+from tidegauge.functions.clean import long_categorical, long_numeric, number, quoted
+from tidegauge.operators.cumulative import ROWS_PER_BUCKET, reference_edges, sketch_with
 from tidegauge.session import metadata_table, small_rows
 from tidegauge.types import PSI_EPS, MonitorSpec
 
@@ -144,16 +144,18 @@ def build_profile(
     if missing:
         raise KeyError(f"features absent from the reference: {missing}")
 
-    sizes = sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket)
+    sizes, rows = sketch_with(
+        reference,
+        spec.num,
+        [
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.count(number(quoted(f))).alias(f"valid{i}") for i, f in enumerate(spec.num)],
+            *[F.count(F.col(quoted(f))).alias(f"cat{i}") for i, f in enumerate(spec.cat)],
+        ],
+        rows_per_bucket=rows_per_bucket,
+    )
     edges = reference_edges(reference, spec.num, bins=spec.bins, sizes=sizes)
 
-    rows = reference.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(number(quoted(f))).alias(f"v{i}") for i, f in enumerate(spec.num)],
-        *[F.count(finite(quoted(f))).alias(f"f{i}") for i, f in enumerate(spec.num)],
-        *[F.count(F.col(quoted(f))).alias(f"c{i}") for i, f in enumerate(spec.cat)],
-    ).first()
-
     bins = small_rows(
         long_numeric(reference, spec.num, edges=edges)
         .where("bin is not null")
@@ -165,8 +167,8 @@ def build_profile(
     for i, f in enumerate(spec.num):
         e = edges.get(f, [])
         numeric[f] = NumericProfile(
-            n_valid=rows[f"v{i}"],
-            n_finite=rows[f"f{i}"],
+            n_valid=rows[f"valid{i}"],
+            n_finite=sizes[f][0],
             edges=tuple(e),
             bin_counts=tuple(by_bin.get((f, b), 0) for b in range(max(len(e) - 1, 0))),
             splits=tuple(sizes[f][1]),
@@ -186,9 +188,9 @@ def build_profile(
         }
     return ReferenceProfile(
         spec=spec,
-        n_rows=rows["n"],
+        n_rows=rows["n_rows"],
         numeric=numeric,
-        cat_valid={f: rows[f"c{i}"] for i, f in enumerate(spec.cat)},
+        cat_valid={f: rows[f"cat{i}"] for i, f in enumerate(spec.cat)},
         cat_support={f: support.get(f, 0) for f in spec.cat},
         value_counts=value_counts,
         category_counts=category_counts,
