@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -61,7 +62,7 @@ def change_points(
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", {unit} bigint"
     columns = [*keys, unit]
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([(*key, u) for u in scan(pdf, unit, delta, min_rows)], columns=columns)
 
     return buckets.groupBy(*keys).applyInPandas(run, schema)
