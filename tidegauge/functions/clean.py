@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +56,35 @@ def bisect_sql(x: str, cuts: Sequence[float]) -> str:
     return tree(0, len(cuts))
 
 
+# beyond this many cut points a CASE tree outgrows what the JVM compiles well
+MAX_TREE = 64
+
+
+def with_buckets(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str = "__b") -> DataFrame:
+    """Add ``<column><suffix>``: a bucket number that never falls as the value rises."""
+    large = {c: list(x) for c, x in cuts.items() if len(x) > MAX_TREE}
+    if large:
+        infinity = float("inf")
+        df = Bucketizer(
+            splitsArray=[[-infinity, *x, infinity] for x in large.values()],
+            inputCols=list(large),
+            outputCols=[c + suffix for c in large],
+            handleInvalid="keep",
+        ).transform(df)
+    numbers = {}
+    for c, x in cuts.items():
+        index = f"cast({quoted(c + suffix)} as int)" if c in large else bisect_sql(quoted(c), x)
+        sub = getattr(x, "sub", 1)
+        if sub > 1 and len(x) > 1:
+            # equal-width parts between neighbouring cut points
+            low = ", ".join(f"{float(v)!r}D" for v in x[:-1])
+            rate = ", ".join(f"{min(sub / (b - a), 1e300)!r}D" for a, b in zip(x, x[1:]))
+            part = f"least({sub - 1}, cast(({quoted(c)} - array({low})[{index} - 1]) * array({rate})[{index} - 1] as int))"
+            index = f"({index}) * {sub} + CASE WHEN {index} BETWEEN 1 AND {len(x) - 1} THEN {part} ELSE 0 END"
+        numbers[c + suffix] = F.expr(f"cast({index} as int)")
+    return df.withColumns(numbers)
+
+
 def long_numeric(
     df: DataFrame,
     features: Sequence[str],
@@ -66,9 +96,8 @@ def long_numeric(
     """``keep..., feature, value[, bin][, bucket]`` with missing values removed.
 
     ``bin`` numbers the reference bins (half-open, NULL for infinities), ``bucket``
-    the ranges that spread ordered work over tasks. Both are CASE trees over
-    literals, so the whole step stays one narrow generated stage. A feature that
-    the table lacks contributes no rows.
+    the ranges that spread ordered work over tasks. Both compare with literals, so
+    the whole step is narrow. A feature that the table lacks contributes no rows.
     """
     names = [f for f in features if f in df.columns]
     keep_names = [k if isinstance(k, str) else None for k in keep]
@@ -88,6 +117,8 @@ def long_numeric(
                          *[F.lit(None).cast("int").alias(e) for e in extra]).where(F.lit(False))
     slots = {f: f"__v{i}" for i, f in enumerate(names)}
     wide = df.select(*map(quoted, keep), *[number(quoted(f)).alias(s) for f, s in slots.items()])
+    if splits is not None:
+        wide = with_buckets(wide, {s: splits.get(f, ()) for f, s in slots.items()})
     structs = []
     for f, s in slots.items():
         fields = [f"'feature', {literal(f)}", f"'value', {s}"]
@@ -95,7 +126,7 @@ def long_numeric(
             inner = list(edges.get(f, ()))[1:-1]
             fields.append(f"'bin', CASE WHEN abs({s}) < double('Infinity') THEN {bisect_sql(s, inner)} END")
         if splits is not None:
-            fields.append(f"'bucket', {bisect_sql(s, splits.get(f, ()))}")
+            fields.append(f"'bucket', {s}__b")
         structs.append(f"named_struct({', '.join(fields)})")
     return wide.select(
         *map(quoted, keep), F.expr(f"inline(array({', '.join(structs)}))")

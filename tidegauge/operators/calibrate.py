@@ -8,20 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import stats
-from tidegauge.functions.clean import finite, literal, number, quoted
+from tidegauge.functions.clean import finite, literal, number, quoted, with_buckets
 from tidegauge.functions.special import chi2_ppf
 from tidegauge.operators.cumulative import (
     ROWS_PER_BUCKET,
+    Cuts,
     cumulate,
     pick_positions,
     reference_edges,
     sketch_features,
+    sketch_with,
     thin,
 )
-from tidegauge.operators.distance import paired_effects
+from tidegauge.operators.distance import paired_effects, paired_psi
 from tidegauge.session import small_rows
 from tidegauge.types import MIN_VALUES, MonitorSpec
 
+Sizes = dict[str, tuple[int, Cuts]]
+
 HOMOGENEOUS, SUSPECT, CONTAMINATED = "homogeneous", "suspect", "CONTAMINATED"
 
 
@@ -30,7 +34,7 @@ def homogeneity_verdict(h: Column | str) -> Column:
     return F.when(h < 2, HOMOGENEOUS).when(h < 5, SUSPECT).when(h >= 5, CONTAMINATED)
 
 
-def finite_cuts(sizes: dict[str, tuple[int, list[float]]]) -> dict[str, list[float]]:
+def finite_cuts(sizes: Sizes) -> dict[str, Cuts]:
     return {f: cuts for f, (_, cuts) in sizes.items()}
 
 
@@ -43,7 +47,7 @@ def snap_to_grid(df: DataFrame, features: Sequence[str], cells: int) -> DataFram
     full = sketch_features(df, features, rows_per_bucket=1)
     out = df
     for f, (_, cuts) in full.items():
-        cuts = thin(cuts, cells, 1)
+        cuts = thin(sorted(set(cuts)), cells, 1)
         if not cuts:
             continue
         x = finite(quoted(f))
@@ -75,6 +79,7 @@ def random_split_effects(
     fraction: float = 0.5,
     seed: int = 0,
     cells: int | None = None,
+    sizes: Sizes | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """``rep, feature, kind, n0, n1, effect`` for every repetition in one job.
@@ -87,9 +92,9 @@ def random_split_effects(
     rows = reference
     if cells:
         rows = snap_to_grid(rows, spec.num, cells)
-        splits: dict[str, list[float]] = {f: [] for f in spec.num}
+        splits = {f: Cuts() for f in spec.num}
     else:
-        splits = finite_cuts(sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket))
+        splits = finite_cuts(sizes or sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket))
     keep = [c for c in rows.columns if c == key or c in spec.num or c in spec.cat]
     samples = (
         rows.select(*keep)
@@ -152,10 +157,8 @@ def block_bounds(
 
     def located(rows: DataFrame, by: list[str], order: str, position: str, count: int, scale: str, start: float):
         size = sketch_features(rows, [order], rows_per_bucket=rows_per_bucket)[order]
-        from tidegauge.functions.clean import bisect_sql
-
         counts = (
-            rows.withColumn("bucket", F.expr(bisect_sql(order, size[1])))
+            with_buckets(rows, {order: size[1]}).withColumnRenamed(f"{order}__b", "bucket")
             .groupBy(*by, "bucket", order)
             .agg(F.count(F.lit(1)).alias("n"))
         )
@@ -186,10 +189,8 @@ def block_bounds(
         begun = long.where(condition)
         offsets = sorted({(f, v[1], v[2]) for (f, _), v in inside.items()})
         size = sketch_features(begun, ["t"], rows_per_bucket=rows_per_bucket)["t"]
-        from tidegauge.functions.clean import bisect_sql
-
         counts = (
-            begun.withColumn("bucket", F.expr(bisect_sql("t", size[1])))
+            with_buckets(begun, {"t": size[1]}).withColumnRenamed("t__b", "bucket")
             .groupBy("feature", "a", "bucket", "t")
             .agg(F.count(F.lit(1)).alias("n"))
         )
@@ -225,6 +226,7 @@ def block_split_effects(
     tie: str,
     *,
     blocks: int = 2,
+    sizes: Sizes | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """``pair, feature, kind, n0, n1, effect`` of each block against the next one.
@@ -234,7 +236,7 @@ def block_split_effects(
     """
     blocks = max(blocks, 2)
     bounds = block_bounds(reference, axis, tie, blocks, rows_per_bucket=rows_per_bucket)["__rows"][1]
-    splits = finite_cuts(sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket))
+    splits = finite_cuts(sizes or sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket))
     rows = (
         reference.withColumn("__a", _axis_number(reference, axis))
         .withColumn("__t", number(quoted(tie)))
@@ -262,11 +264,11 @@ def block_floor(effects: DataFrame) -> DataFrame:
     )
 
 
-def measurable_numeric(reference: DataFrame, spec: MonitorSpec) -> int:
+def measurable_numeric(reference: DataFrame, spec: MonitorSpec, sizes: Sizes | None = None) -> int:
     """Numeric features that can be measured against themselves, at least 1."""
-    sizes = sketch_features(reference, spec.num)
+    sizes = sizes or sketch_features(reference, spec.num)
     edges = reference_edges(reference, spec.num, bins=spec.bins, sizes=sizes)
-    k = sum(1 for f in spec.num if sizes[f][0] >= MIN_VALUES and len(edges[f]) >= 3)
+    k = sum(1 for f in spec.num if sizes[f][0] >= MIN_VALUES and len(edges[f][0]) >= 3)
     return max(k, 1)
 
 
@@ -293,21 +295,23 @@ def calibrate(
     if mode != "random" and axis is None:
         raise ValueError("block calibration needs an axis: rows have no order of their own")
     blocks = max(blocks, 2)
-    k = measurable_numeric(reference, spec)
-    n = reference.count()
+    sizes, row = sketch_with(reference, spec.num, [F.count(F.lit(1)).alias("n_rows")])
+    n = row["n_rows"]
+    k = measurable_numeric(reference, spec, sizes)
     half = n // 2
     pieces = []
     if mode != "block":
         pieces.append(
             random_floor(
                 random_split_effects(
-                    reference, spec, key, repetitions=repetitions, fraction=fraction, seed=seed, cells=cells
+                    reference, spec, key, repetitions=repetitions, fraction=fraction, seed=seed, cells=cells,
+                    sizes=sizes,
                 ),
                 quantile=quantile,
             )
         )
     if mode != "random":
-        pieces.append(block_floor(block_split_effects(reference, spec, axis, key, blocks=blocks)))
+        pieces.append(block_floor(block_split_effects(reference, spec, axis, key, blocks=blocks, sizes=sizes)))
     merged = pieces[0]
     for p in pieces[1:]:
         merged = merged.unionByName(p, allowMissingColumns=True)
@@ -382,23 +386,24 @@ def homogeneity_by_feature(
             raise ValueError("block halves need an axis")
         bounds = block_bounds(df, axis, key, 2, kept, rows_per_bucket=rows_per_bucket)
         base = df.withColumn("__a", _axis_number(df, axis)).withColumn("__t", number(quoted(key)))
+        slots = {f: f"__x{i}" for i, f in enumerate(kept)}
+        base = base.select("__a", "__t", *[finite(quoted(f)).alias(s) for f, s in slots.items()])
+        base = with_buckets(base, {s: splits[f] for f, s in slots.items()})
         # every feature has its own half-way point
         sides = ", ".join(
-            f"named_struct('feature', {literal(f)}, 'value', try_cast({quoted(f)} as double), "
-            f"'bucket', {_bucket(f, splits)}, 'side', {block_number_sql(bounds[f][1][:1], '__a', '__t')})"
+            f"named_struct('feature', {literal(f)}, 'value', {slots[f]}, 'bucket', {slots[f]}__b, 'side', {block_number_sql(bounds[f][1][:1], '__a', '__t')})"
             for f in kept
         )
-        long = base.select(F.expr(f"inline(array({sides}))")).where("abs(value) < double('Infinity')")
+        long = base.select(F.expr(f"inline(array({sides}))")).where("value is not null")
         counts = long.groupBy("feature", "bucket", "value").agg(
             F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1")
         )
-        from tidegauge.operators.distance import paired_psi
-
         measured = paired_psi(counts, ["feature"], bins=bins, bucketed=any(splits.values()))
         measured = measured.select("feature", (F.col("n0") + F.col("n1")).alias("n"), "psi")
     else:
         effects = random_split_effects(
-            df, spec, key, repetitions=repetitions, seed=seed, cells=cells, rows_per_bucket=rows_per_bucket
+            df, spec, key, repetitions=repetitions, seed=seed, cells=cells, sizes={f: sizes[f] for f in kept},
+            rows_per_bucket=rows_per_bucket,
         )
         measured = effects.groupBy("feature").agg(
             F.max(F.col("n0") + F.col("n1")).alias("n"), F.percentile("effect", quantile).alias("psi")
@@ -409,12 +414,6 @@ def homogeneity_by_feature(
     return scored.select("feature", "n", F.round("h", 2).alias("h"), homogeneity_verdict("h").alias("verdict"))
 
 
-def _bucket(feature: str, splits: dict[str, list[float]]) -> str:
-    from tidegauge.functions.clean import bisect_sql
-
-    return bisect_sql(f"try_cast({quoted(feature)} as double)", splits.get(feature, ()))
-
-
 def homogeneity_audit(
     df: DataFrame,
     *,

@@ -28,7 +28,7 @@ def sketch_features(
     features: Sequence[str],
     *,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> dict[str, tuple[int, list[float]]]:
+) -> dict[str, tuple[int, Cuts]]:
     """Per numeric column: finite count and the cut points that balance its buckets.
 
     One map-side-combined aggregate; the result is one row.
@@ -38,12 +38,12 @@ def sketch_features(
 
 def sketch_with(
     df: DataFrame, features: Sequence[str], extra: Sequence[Column], *, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> tuple[dict[str, tuple[int, list[float]]], Row | None]:
+) -> tuple[dict[str, tuple[int, Cuts]], Row | None]:
     """The sketch together with other aggregates of the same pass."""
     names = [f for f in features if f in df.columns]
     if not names and not extra:
         return {}, None
-    points = ", ".join(f"{i / MAX_BUCKETS!r}D" for i in range(1, MAX_BUCKETS))
+    points = ", ".join(f"{i / MAX_BUCKETS!r}D" for i in range(MAX_BUCKETS + 1))
     aggs = list(extra)
     columns = {f"__v{i}": finite(quoted(f)) for i, f in enumerate(names)}
     for i, _ in enumerate(names):
@@ -59,24 +59,34 @@ def sketch_with(
     return out, row
 
 
-def thin(grid: Sequence[float], n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
-    """Keep as many cut points as the row count calls for."""
-    wanted = min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))) - 1
-    if wanted <= 0 or not grid:
-        return []
-    if wanted >= len(grid):
-        return list(grid)
-    step = len(grid) / wanted
-    return sorted({grid[min(len(grid) - 1, int((k + 0.5) * step))] for k in range(wanted)})
+class Cuts(list):
+    """Sorted cut points; ``sub`` equal-width parts between neighbours when many buckets are needed."""
 
+    sub = 1
 
-def merge_splits(*sources: dict[str, tuple[int, list[float]]]) -> dict[str, list[float]]:
+
+def thin(grid: Sequence[float], n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> Cuts:
+    """Keep as many cut points as the row count calls for, or subdivide between them."""
+    wanted = -(-n // rows_per_bucket)
+    if wanted <= 1 or not grid:
+        return Cuts()
+    if wanted - 1 >= len(grid):
+        out = Cuts(grid)
+        out.sub = max(1, -(-wanted // len(grid))) if wanted > MAX_BUCKETS else 1
+        return out
+    step = len(grid) / (wanted - 1)
+    return Cuts(sorted({grid[min(len(grid) - 1, int((k + 0.5) * step))] for k in range(wanted - 1)}))
+
+
+def merge_splits(*sources: dict[str, tuple[int, Cuts]]) -> dict[str, Cuts]:
     """Union of the cut points of several tables, per feature."""
-    out: dict[str, set[float]] = {}
-    for s in sources:
-        for f, (_, cuts) in s.items():
-            out.setdefault(f, set()).update(cuts)
-    return {f: sorted(v) for f, v in out.items()}
+    out: dict[str, Cuts] = {}
+    for source in sources:
+        for f, (_, cuts) in source.items():
+            merged = Cuts(sorted({*out.get(f, ()), *cuts}))
+            merged.sub = max(getattr(out.get(f), "sub", 1), getattr(cuts, "sub", 1))
+            out[f] = merged
+    return out
 
 
 def cumulate(
@@ -189,20 +199,25 @@ def interpolated(lo: str = "lo", hi: str = "hi", frac: str = "frac"):
 def quantile_edges(
     counts: DataFrame, by: Sequence[str], *, bins: int, bucketed: bool, weight: str = "n", also: Sequence[str] = ()
 ) -> DataFrame:
-    """``by, edges, <weight>_all``: sorted distinct linear quantiles at 0, 1/bins, ..., 1.
+    """``by, edges, below, <weight>_all``: sorted distinct linear quantiles at 0, 1/bins, ..., 1.
 
-    The group totals of the columns in ``also`` come along.
+    ``below`` counts the values under each edge, which also gives the histogram on
+    the edges. The group totals of the columns in ``also`` come along.
     """
     extra = [f"{c}_all" for c in also]
+    before = f"{weight}_before"
     cum = cumulate(counts, by, "value", [weight, *also], bucketed=bucketed)
     picked = pick_positions(
         cum, by, "value", count=bins + 1, start=0.0, step=1.0 / bins,
         scale=f"({weight}_all - 1)", position=f"least(i * {1.0 / bins!r}D, 1.0D) * ({weight}_all - 1)", weight=weight,
-        carry=[f"{weight}_all", *extra],
-    )
+        carry=[before, f"{weight}_all", *extra],
+    ).withColumn("edge", interpolated())
+    below = F.when(F.col("edge") == F.col("lo"), F.col(f"{before}_lo")).otherwise(F.col(f"{before}_hi"))
+    marks = F.array_sort(F.collect_set(F.struct("edge", below.alias("below"))))
     return picked.groupBy(*by).agg(
-        F.array_sort(F.collect_set(interpolated())).alias("edges"),
-        *[F.max(f"{c}_lo").alias(c) for c in (f"{weight}_all", *extra)],
+        marks.alias("marks"), *[F.max(f"{c}_lo").alias(c) for c in (f"{weight}_all", *extra)]
+    ).select(
+        *by, F.col("marks.edge").alias("edges"), F.col("marks.below").alias("below"), f"{weight}_all", *extra
     )
 
 
@@ -211,9 +226,9 @@ def reference_edges(
     features: Sequence[str],
     *,
     bins: int,
-    sizes: dict[str, tuple[int, list[float]]],
-) -> dict[str, list[float]]:
-    """Quantile edges per column of one table, read to the driver (bins+1 numbers each)."""
+    sizes: dict[str, tuple[int, Cuts]],
+) -> dict[str, tuple[list[float], list[int]]]:
+    """Quantile edges and bin counts per column of one table (bins+1 numbers each)."""
     names = [f for f in features if f in sizes]
     if not names:
         return {}
@@ -225,5 +240,10 @@ def reference_edges(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     rows = small_rows(quantile_edges(counts, ["feature"], bins=bins, bucketed=any(splits.values())))
-    found = {r["feature"]: list(r["edges"]) for r in rows}
-    return {f: found.get(f, []) for f in names}
+    out: dict[str, tuple[list[float], list[int]]] = {f: ([], []) for f in names}
+    for r in rows:
+        # outer bins are open-ended
+        marks = [0, *r["below"][1:-1], r["n_all"]]
+        counts_per_bin = [b - a for a, b in zip(marks, marks[1:])] if len(r["edges"]) > 1 else []
+        out[r["feature"]] = (list(r["edges"]), counts_per_bin)
+    return out

@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clean import long_categorical, long_numeric
+from tidegauge.functions.clean import long_categorical, long_numeric, with_buckets
 from tidegauge.operators.cumulative import (
     ROWS_PER_BUCKET,
+    Cuts,
     cumulate,
     merge_splits,
     quantile_edges,
@@ -24,7 +25,6 @@ from tidegauge.operators.cumulative import (
 from tidegauge.operators.joins import keyed_join
 from tidegauge.operators.profile import ReferenceProfile
 from tidegauge.operators.windows import assign_windows
-from tidegauge.session import metadata_table
 from tidegauge.types import CATEGORY_SCALE, MIN_VALUES, PSI_EPS, SlidingWindow
 
 CONST = "__all"
@@ -81,20 +81,33 @@ def psi_from_bins(bins: DataFrame, profile: ReferenceProfile, by: Sequence[str])
     )
 
 
-def _with_bucket(df: DataFrame, splits: dict[str, list[float]]) -> DataFrame:
+def _with_bucket(df: DataFrame, splits: dict[str, Cuts]) -> DataFrame:
     """Bucket number of already-reduced (feature, value) rows."""
-    if not any(splits.values()):
+    used = {f: c for f, c in splits.items() if c}
+    if not used:
         return df.withColumn("bucket", F.lit(0))
-    # cut points are at most 1024 numbers per monitored column
-    table = metadata_table(
-        df.sparkSession, [(f, list(c)) for f, c in splits.items()], "feature string, cuts array<double>"
+    own = {f"__x{i}": F.when(F.col("feature") == f, F.col("value")) for i, f in enumerate(used)}
+    cut = {f"__x{i}": c for i, c in enumerate(used.values())}
+    placed = with_buckets(df.withColumns(own), cut)
+    number = F.lit(0)
+    for i, f in enumerate(used):
+        number = F.when(F.col("feature") == f, F.col(f"__x{i}__b")).otherwise(number)
+    return placed.select(*df.columns, number.alias("bucket"))
+
+
+def _running_per_bucket(parts: Sequence[DataFrame], sums: Sequence[str]) -> DataFrame:
+    """``feature, bucket, <s>_off``: what lies in earlier buckets, for every bucket in use.
+
+    One row per feature and bucket.
+    """
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p, allowMissingColumns=True)
+    totals = merged.groupBy("feature", "bucket").agg(*[F.sum(s).alias(s) for s in sums])
+    before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        "feature", "bucket", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_off") for s in sums]
     )
-    return df.join(F.broadcast(table), "feature", "left").withColumn(
-        "bucket",
-        F.when(F.col("cuts").isNull(), 0).otherwise(
-            F.size(F.filter("cuts", lambda c: c <= F.col("value")))
-        ),
-    ).drop("cuts")
 
 
 def numeric_statistics(
@@ -143,16 +156,11 @@ def numeric_statistics(
     ).withColumn("cur_at", F.sum("n").over(own.rangeBetween(0, 0)))
 
     if bucketed:
-        slots = [(f, b) for f in spec.num for b in range(len(splits.get(f, ())) + 1)]
-        ref_totals = metadata_table(spark, slots, "feature string, bucket int").join(
-            reference.groupBy("feature", "bucket").agg(F.sum("n_ref").alias("n_ref")), ["feature", "bucket"], "left"
-        )
-        ref_before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        # one row per feature and bucket
-        ref_off = ref_totals.select(
-            "feature", "bucket", F.coalesce(F.sum("n_ref").over(ref_before), F.lit(0)).alias("ref_off")
-        )
-        located = located.join(F.broadcast(ref_off), ["feature", "bucket"])
+        in_use = [
+            reference.groupBy("feature", "bucket").agg(F.sum("n_ref").alias("ref")),
+            totals.groupBy("feature", "bucket").agg(F.lit(0).cast("long").alias("ref")),
+        ]
+        located = located.join(_running_per_bucket(in_use, ["ref"]), ["feature", "bucket"])
     else:
         whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         located = located.withColumn("ref_off", F.lit(0)).withColumn("n_cur_valid", F.max("cur_upto").over(whole))
@@ -283,6 +291,7 @@ def wasserstein_statistics(
         (F.col("n_before") / F.col("n_all")).alias("a"), (F.col("n_upto") / F.col("n_all")).alias("b"),
         (F.col("s_before") / F.col("n_all")).alias("sa"), (F.col("s_upto") / F.col("n_all")).alias("sb"),
     )
+    cumulative_shares = ref.select("feature", "bucket", (F.col("b") - F.col("a")).alias("share"), (F.col("sb") - F.col("sa")).alias("part"))
     win = cumulate(rows, [*out_by, "feature"], "value", ["n"], bucketed=bucketed).select(
         *out_by, "feature", "bucket", "value", F.col("n_all").alias("n_cur_finite"),
         (F.col("n_before") / F.col("n_all")).alias("a"), (F.col("n_upto") / F.col("n_all")).alias("b"),
@@ -300,28 +309,21 @@ def wasserstein_statistics(
         )
     )
     ordered = Window.partitionBy("feature", "bucket").orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
-    start = ref.groupBy("feature", "bucket").agg(F.max("b").alias("b0"), F.max_by("sb", "b").alias("s0"))
-    grid = metadata_table(
-        spark, [(f, b) for f in spec.num for b in range(len(splits.get(f, ())) + 1)], "feature string, bucket int"
-    ).join(start, ["feature", "bucket"], "left")
-    earlier = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = grid.select(
-        "feature", "bucket",
-        F.coalesce(F.max("b0").over(earlier), F.lit(0.0)).alias("b0"),
-        F.coalesce(F.last("s0", ignorenulls=True).over(earlier), F.lit(0.0)).alias("s0"),
-    )
+    shares = cumulative_shares.groupBy("feature", "bucket").agg(F.sum("share").alias("b0"), F.sum("part").alias("s0"))
+    others = win.groupBy("feature", "bucket").agg(F.lit(0.0).alias("b0"), F.lit(0.0).alias("s0"))
+    carry = _running_per_bucket([shares, others], ["b0", "s0"])
     at_value = (
         along_value.withColumn("wb", F.max("rb").over(ordered))
         .withColumn("ws", F.last("rs", ignorenulls=True).over(ordered))
         .where("n_cur_finite is not null")
-        .join(F.broadcast(carry), ["feature", "bucket"])
-        .withColumn("wb", F.coalesce("wb", "b0"))
-        .withColumn("ws", F.when(F.col("wb") == F.col("b0"), F.coalesce("ws", "s0")).otherwise(F.col("ws")))
+        .join(carry, ["feature", "bucket"])
+        .withColumn("ws", F.coalesce("ws", "s0_off"))
+        .withColumn("wb", F.coalesce("wb", "b0_off"))
         .select(*out_by, "feature", "value", "n_cur_finite", "a", "b", "wb", "ws")
     )
 
     # look-up 2, along the rank axis: the running integral at each rank boundary
-    slots = max(1, max((len(c) for c in splits.values()), default=0) + 1)
+    slots = max((len(c) * c.sub for c in splits.values()), default=0) + 1
     slot = lambda u: F.least(F.floor(u * slots), F.lit(slots - 1)).cast("int")
     levels = win.select(*out_by, "feature", F.col("b").alias("u")).withColumn("slot", slot(F.col("u")))
     # a reference value covers every slot its ranks touch; a heavy value is repeated
@@ -439,7 +441,7 @@ def paired_effects(
     cat: Sequence[str],
     *,
     bins: int,
-    splits: dict[str, list[float]],
+    splits: dict[str, Cuts],
     side: str = "side",
 ) -> DataFrame:
     """``by, feature, kind, n0, n1, effect`` comparing side 1 with side 0 in every group."""

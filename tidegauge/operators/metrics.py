@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clean import bisect_sql, finite, quoted
+from tidegauge.functions.clean import finite, quoted, with_buckets
 from tidegauge.operators.cumulative import (
     ROWS_PER_BUCKET,
     cumulate,
@@ -47,7 +47,7 @@ def score_counts(
     rows = scored.select(*by, *units, finite(quoted(score)).alias("value"), F.col(label).cast("int").alias("y")).where(
         "value is not null and y is not null"
     )
-    counts = rows.withColumn("bucket", F.expr(bisect_sql("value", cuts))).groupBy(
+    counts = with_buckets(rows, {"value": cuts}).withColumnRenamed("value__b", "bucket").groupBy(
         *by, *units, "bucket", "value"
     ).agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"), F.count(F.lit(1)).alias("n")

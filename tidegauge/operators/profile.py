@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.clean import long_categorical, long_numeric, number, quoted
-from tidegauge.operators.cumulative import ROWS_PER_BUCKET, reference_edges, sketch_with
+from tidegauge.operators.cumulative import ROWS_PER_BUCKET, Cuts, reference_edges, sketch_with
 from tidegauge.session import metadata_table, small_rows
 from tidegauge.types import PSI_EPS, MonitorSpec
 
@@ -27,6 +27,7 @@ class NumericProfile:
     edges: tuple[float, ...]
     bin_counts: tuple[int, ...]
     splits: tuple[float, ...]
+    subdivision: int = 1
 
     @property
     def usable(self) -> bool:
@@ -48,8 +49,14 @@ class ReferenceProfile:
         return {f: p.edges for f, p in self.numeric.items()}
 
     @property
-    def sizes(self) -> dict[str, tuple[int, list[float]]]:
-        return {f: (p.n_finite, list(p.splits)) for f, p in self.numeric.items()}
+    def sizes(self) -> dict[str, tuple[int, Cuts]]:
+        """Row counts and cut points, as the sketch of the reference gave them."""
+        out = {}
+        for f, p in self.numeric.items():
+            cuts = Cuts(p.splits)
+            cuts.sub = p.subdivision
+            out[f] = (p.n_finite, cuts)
+        return out
 
     def but(self, **changes) -> ReferenceProfile:
         """Same reference, other thresholds (features and bins stay)."""
@@ -113,7 +120,8 @@ class ReferenceProfile:
             n_rows=head["n_rows"],
             numeric={
                 f: NumericProfile(
-                    p["n_valid"], p["n_finite"], tuple(p["edges"]), tuple(p["bin_counts"]), tuple(p["splits"])
+                    p["n_valid"], p["n_finite"], tuple(p["edges"]), tuple(p["bin_counts"]), tuple(p["splits"]),
+                    p["subdivision"],
                 )
                 for f, p in head["numeric"].items()
             },
@@ -156,22 +164,16 @@ def build_profile(
     )
     edges = reference_edges(reference, spec.num, bins=spec.bins, sizes=sizes)
 
-    bins = small_rows(
-        long_numeric(reference, spec.num, edges=edges)
-        .where("bin is not null")
-        .groupBy("feature", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    ) if spec.num else []
-    by_bin = {(r["feature"], r["bin"]): r["n"] for r in bins}
     numeric = {}
     for i, f in enumerate(spec.num):
-        e = edges.get(f, [])
+        e, per_bin = edges.get(f, ([], []))
         numeric[f] = NumericProfile(
             n_valid=rows[f"valid{i}"],
             n_finite=sizes[f][0],
             edges=tuple(e),
-            bin_counts=tuple(by_bin.get((f, b), 0) for b in range(max(len(e) - 1, 0))),
+            bin_counts=tuple(per_bin),
             splits=tuple(sizes[f][1]),
+            subdivision=sizes[f][1].sub,
         )
 
     value_counts = long_numeric(reference, spec.num).groupBy("feature", "value").agg(

@@ -51,6 +51,8 @@ REFERENCE_DAYS = 15
 WINDOW = SlidingWindow("day", first=18, last=30, width=3, step=1)
 RANGES = {"value": (0.0, 200.0), "k": (0.0, 94.0), "absent": (0.0, 1.0)}
 SPEC = MonitorSpec(num=("value", "k"), cat=("event_type",), threshold=0.02, ranges=RANGES)
+NUMERIC = SPEC.but(cat=())
+CATEGORICAL = SPEC.but(num=())
 GUARDS = GuardConfig(floor=0.006, threshold=0.02, k=2, n=4, cooldown=3, contexts={"campaign": (19, 20)})
 EVENTS = [
     {"name": "campaign", "start": 19, "end": 21, "must_alarm": True, "exit_code": 0},
@@ -347,45 +349,45 @@ def key_set_diff(spark, d):
 # --- two-sample measurement --------------------------------------------------
 @query
 def reference_edges(spark, d):
-    p = profile_of(spark, d)
+    p = profile_of(spark, d, NUMERIC)
     rows = [(f, i, e) for f, es in p.edges.items() for i, e in enumerate(es)]
     return metadata_table(spark, rows, "feature string, i bigint, edge double").select("feature", "i", r6("edge").alias("edge"))
 
 
 @query
 def bin_histogram(spark, d):
-    out = bin_counts(events(spark, d), profile_of(spark, d), [], WINDOW)
+    out = bin_counts(events(spark, d), profile_of(spark, d, NUMERIC), [], WINDOW)
     return out.select("window", "feature", long("bin"), "n")
 
 
 @query
 def psi(spark, d):
-    p = profile_of(spark, d)
+    p = profile_of(spark, d, NUMERIC)
     out = psi_from_bins(bin_counts(one(current(spark, d)), p, ["g"]), p, ["g"])
     return out.select("feature", "n_cur_finite", r6("psi").alias("psi"))
 
 
 @query
 def js_divergence(spark, d):
-    out = categorical_statistics(planted(spark, d), profile_of(spark, d), [], WINDOW)
+    out = categorical_statistics(planted(spark, d), profile_of(spark, d, CATEGORICAL), [], WINDOW)
     return out.select("window", "feature", r6("js").alias("js"))
 
 
 @query
 def wasserstein(spark, d):
-    out = wasserstein_statistics(events(spark, d), profile_of(spark, d), [], WINDOW)
+    out = wasserstein_statistics(events(spark, d), profile_of(spark, d, NUMERIC), [], WINDOW)
     return out.select("window", "feature", r6("wasserstein", 5).alias("wasserstein"))
 
 
 @query
 def ks_statistic(spark, d):
-    out = numeric_statistics(events(spark, d), profile_of(spark, d), [], WINDOW)
+    out = numeric_statistics(events(spark, d), profile_of(spark, d, NUMERIC), [], WINDOW)
     return out.select("window", "feature", r6("ks").alias("ks"))
 
 
 @query
 def ks_pvalue(spark, d):
-    p = profile_of(spark, d)
+    p = profile_of(spark, d, NUMERIC)
     out = numeric_statistics(planted(spark, d), p, ["seg"], WINDOW)
     n_ref = p.numeric["value"].n_valid
     return out.where("feature = 'value'").select(
@@ -395,7 +397,7 @@ def ks_pvalue(spark, d):
 
 @query
 def chi2_statistic(spark, d):
-    out = categorical_statistics(planted(spark, d), profile_of(spark, d), [], WINDOW)
+    out = categorical_statistics(planted(spark, d), profile_of(spark, d, CATEGORICAL), [], WINDOW)
     return out.select("window", "feature", r6("chi2", 4).alias("chi2"), long("dof"))
 
 
@@ -413,7 +415,7 @@ def chi2_two_categories(spark, d):
 
 @query
 def chi2_pvalue(spark, d):
-    out = categorical_statistics(events(spark, d), profile_of(spark, d), ["seg"], WINDOW)
+    out = categorical_statistics(events(spark, d), profile_of(spark, d, CATEGORICAL), ["seg"], WINDOW)
     return out.select("seg", "window", r6(stats.chi2_pvalue("chi2", "dof")).alias("p_value"))
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.operators.metrics import performance
-from tidegauge.operators.policy import decide, with_all_evidence
+from tidegauge.operators.policy import decide, seeded_decide, with_all_evidence
 from tidegauge.operators.profile import ReferenceProfile
 from tidegauge.operators.ranges import range_violations, worst_violation
 from tidegauge.operators.report import drift_report, summarise
 from tidegauge.operators.windows import narrow_axis
+from tidegauge.session import materialise
 from tidegauge.types import RETRAIN, GuardConfig, SlidingWindow
 
 MIN_SEGMENT_ROWS = 50
@@ -70,7 +71,8 @@ def backfill(
     keys = [segment] if segment and label and score else []
     if not keys:
         evidence, keys = evidence.withColumn("monitor", F.lit("all")), ["monitor"]
-    decisions = decide(evidence, keys, "window", config)
+    # windows x segments rows; the cascade reads them several times
+    decisions = decide(materialise(evidence), keys, "window", config)
     return decisions.withColumn("event", event) if event is not None else decisions
 
 
@@ -95,6 +97,4 @@ def decide_next(
     )
     last = memory.where("__retrained").groupBy(*keys).agg(F.max(axis).cast("bigint").alias("__last"))
     fresh = with_all_evidence(evidence).join(history.select(*keys, axis), [*keys, axis], "left_anti")
-    from tidegauge.operators.policy import seeded_decide
-
     return seeded_decide(fresh, memory, last, keys, axis, config)
