@@ -44,27 +44,13 @@ def snap_to_grid(df: DataFrame, features: Sequence[str], cells: int) -> DataFram
     Keeps distances between distributions to within one cell while the counts that
     are shuffled stay bounded by repetitions x columns x cells.
     """
-    full = sketch_features(df, features, rows_per_bucket=1)
-    out = df
-    for f, (_, cuts) in full.items():
-        cuts = thin(sorted(set(cuts)), cells, 1)
-        if not cuts:
-            continue
-        x = finite(quoted(f))
-        index = F.expr(_representative(quoted(f), cuts))
-        out = out.withColumn(f, F.when(x.isNotNull(), index))
-    return out
-
-
-def _representative(column: str, cuts: Sequence[float]) -> str:
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return f"{float(cuts[max(lo - 1, 0)])!r}D" if lo else f"{float(cuts[0])!r}D - 1"
-        mid = (lo + hi) // 2
-        return f"CASE WHEN x < {float(cuts[mid])!r}D THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
-
-    body = tree(0, len(cuts)).replace("x <", f"try_cast({column} AS double) <")
-    return body
+    grids = {f: thin(cuts, cells, 1) for f, (_, cuts) in sketch_features(df, features, rows_per_bucket=1).items()}
+    grids = {f: Cuts(g) for f, g in grids.items() if g}
+    placed = with_buckets(df.withColumns({f: finite(quoted(f)) for f in grids}), grids)
+    # the largest cut point not above the value; a mark below the first one for the rest
+    marks = {f: ", ".join(f"{float(v)!r}D" for v in (g[0] - 1.0, *g)) for f, g in grids.items()}
+    snapped = {f: F.expr(f"CASE WHEN {quoted(f)} IS NOT NULL THEN array({m})[{quoted(f + '__b')}] END") for f, m in marks.items()}
+    return placed.withColumns(snapped).select(*df.columns)
 
 
 # ---------------------------------------------------------------------------
