@@ -214,3 +214,22 @@ def test_psi_against_itself_and_monotone_in_shift(spark):
     assert effect(base) == pytest.approx(0.0, abs=1e-12)
     values = [effect(rng.normal(d, 1, 4000)) for d in (0.1, 0.5, 1.0, 2.0)]
     assert values == sorted(values) and values[-1] > 1.0
+
+
+@pytest.mark.parametrize("trust", [True, False])
+def test_bracketed_edges_equal_numpy(spark, table, pdf, rows_per_bucket, trust):
+    sizes = cumulative.sketch_features(table, ["x", "hot", "steps", "const"], rows_per_bucket=rows_per_bucket)
+    if not trust:
+        # a sketch that misleads must cost time, not correctness
+        for _, cuts in sizes.values():
+            cuts.grid = [v + 3.0 for v in cuts.grid]
+    for bins in (4, 10):
+        got = cumulative.reference_edges(table, list(sizes), bins=bins, sizes=sizes)
+        for f, (edges, counts) in got.items():
+            x = pdf[f].to_numpy()
+            x = x[np.isfinite(x)]
+            want = np.unique(np.quantile(x, np.linspace(0, 1, bins + 1)))
+            assert np.allclose(edges, want, atol=1e-12) and sum(counts) in (0, len(x))
+            if len(want) > 2:
+                want[0], want[-1] = -np.inf, np.inf
+                assert counts == list(np.histogram(x, want)[0])

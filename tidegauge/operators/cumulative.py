@@ -9,6 +9,7 @@ any cut points give the same, exact answer.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -55,7 +56,9 @@ def sketch_with(
     out = {}
     for i, f in enumerate(names):
         n, grid = row[f"n{i}"], row[f"p{i}"] or []
-        out[f] = (n, thin(sorted(set(grid)), n, rows_per_bucket))
+        cuts = thin(sorted(set(grid)), n, rows_per_bucket)
+        cuts.grid = grid
+        out[f] = (n, cuts)
     return out, row
 
 
@@ -63,6 +66,8 @@ class Cuts(list):
     """Sorted cut points; ``sub`` equal-width parts between neighbours when many buckets are needed."""
 
     sub = 1
+    # the sketch's evenly spaced quantiles the points were thinned from
+    grid: Sequence[float] = ()
 
 
 def thin(grid: Sequence[float], n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> Cuts:
@@ -221,6 +226,33 @@ def quantile_edges(
     )
 
 
+def bracket_cuts(grid: Sequence[float], n: int, bins: int, buckets: int) -> Cuts:
+    """Narrow value ranges that hold the wanted quantiles, as alternating start and end cuts.
+
+    The sketch is off by less than one of its own steps, so one step to either side
+    is enough; the caller checks that every quantile was really inside.
+    """
+    last = len(grid) - 1
+    spans: list[list[float]] = []
+    for j in range(bins + 1):
+        lo = grid[max(0, math.floor(j * last / bins) - 1)]
+        hi = math.nextafter(grid[min(last, math.ceil(j * last / bins) + 1)], math.inf)
+        if spans and lo <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], hi)
+        else:
+            spans.append([lo, hi])
+    cuts = Cuts(x for span in spans for x in span)
+    # a bracket holds a few steps of the sketch, shared out like the other buckets
+    cuts.sub = max(1, -(-4 * buckets // last))
+    return cuts
+
+
+def edge_rows(values: DataFrame, *, bins: int, bucketed: bool) -> list[Row]:
+    """One row of quantile edges per feature from ``feature, bucket, value`` rows."""
+    counts = values.groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    return small_rows(quantile_edges(counts, ["feature"], bins=bins, bucketed=bucketed))
+
+
 def reference_edges(
     df: DataFrame,
     features: Sequence[str],
@@ -228,20 +260,35 @@ def reference_edges(
     bins: int,
     sizes: dict[str, tuple[int, Cuts]],
 ) -> dict[str, tuple[list[float], list[int]]]:
-    """Quantile edges and bin counts per column of one table (bins+1 numbers each)."""
+    """Quantile edges and bin counts per column of one table (bins+1 numbers each).
+
+    Of a large column only the values near a quantile are shuffled; the rest is
+    counted. A column whose quantiles escape their brackets is done in full.
+    """
     names = [f for f in features if f in sizes]
     if not names:
         return {}
-    splits = merge_splits(sizes)
-    counts = (
-        long_numeric(df, names, splits=splits)
-        .where(F.abs("value") < float("inf"))
-        .groupBy("feature", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    rows = small_rows(quantile_edges(counts, ["feature"], bins=bins, bucketed=any(splits.values())))
+    found: dict[str, Row] = {}
+    large = [f for f in names if sizes[f][1] and sizes[f][1].grid]
+    if large:
+        brackets = {f: bracket_cuts(sizes[f][1].grid, sizes[f][0], bins, len(sizes[f][1]) * sizes[f][1].sub) for f in large}
+        located = long_numeric(df, large, splits=brackets).where(F.abs("value") < float("inf"))
+        part = F.col("bucket")
+        for f, c in brackets.items():
+            if c.sub > 1:
+                part = F.when(F.col("feature") == f, F.floor(F.col("bucket") / c.sub)).otherwise(part)
+        # values between brackets only count; odd parts are inside a bracket
+        kept = located.withColumn("value", F.when(part % 2 == 1, F.col("value")))
+        for r in edge_rows(kept, bins=bins, bucketed=True):
+            if None not in r["edges"]:
+                found[r["feature"]] = r
+    rest = [f for f in names if f not in found]
+    if rest:
+        splits = {f: sizes[f][1] for f in rest}
+        values = long_numeric(df, rest, splits=splits).where(F.abs("value") < float("inf"))
+        found |= {r["feature"]: r for r in edge_rows(values, bins=bins, bucketed=any(splits.values()))}
     out: dict[str, tuple[list[float], list[int]]] = {f: ([], []) for f in names}
-    for r in rows:
+    for r in found.values():
         # outer bins are open-ended
         marks = [0, *r["below"][1:-1], r["n_all"]]
         counts_per_bin = [b - a for a, b in zip(marks, marks[1:])] if len(r["edges"]) > 1 else []
