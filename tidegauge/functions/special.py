@@ -64,7 +64,6 @@ def chi2_ppf(q: float, dof: float) -> float:
     return 0.5 * (lo + hi)
 
 
-@lru_cache(maxsize=64)
 def kendall_tail(n: int, concordant: int) -> float:
     """Exact two-sided p-value of Kendall's tau without ties.
 
