@@ -925,7 +925,7 @@ def stream_guards(spark, d):
     # a monitor's windows arrive in order, a few days per micro-batch
     for first in range(1, 31, 10):
         evidence.where(F.col("day").between(first, first + 9)).coalesce(1).write.mode("append").parquet(source)
-    with g.state_store(spark):
+    with g.state_store(spark, partitions=8):
         stream = spark.readStream.schema(evidence.schema).option("maxFilesPerTrigger", 1).parquet(source)
         q = (
             g.guard_stream(stream, ["seg"], "day", GUARDS).writeStream.outputMode("append").format("parquet")

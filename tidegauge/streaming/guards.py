@@ -24,18 +24,26 @@ from tidegauge.types import (
 )
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 @contextmanager
-def state_store(spark: SparkSession) -> Iterator[None]:
-    """Custom state needs the RocksDB provider; restore the session's choice after."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def state_store(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Custom state needs the RocksDB provider; restore the session's choices after.
+
+    ``partitions`` fixes the number of state partitions, which should follow the
+    number of monitors rather than the size of the batch shuffles.
+    """
+    wanted = {PROVIDER: ROCKSDB} | ({PARTITIONS: str(partitions)} if partitions else {})
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
 
 
 class GuardProcessor(StatefulProcessor):
