@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.session import materialise
 
-__all__ = ["BLANKS", "as_text", "count_words", "materialise", "number_within", "table", "uniform"]
+__all__ = ["BLANKS", "as_text", "count_words", "materialise", "number_within", "table", "uniform", "vocabulary"]
 
 # The white space of every operator here: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"\x20\x09-\x0D"
@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies; the same place on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def as_text(text: Column) -> Column:
     """The text, with NULL as the empty text."""
     return F.coalesce(text, F.lit(""))

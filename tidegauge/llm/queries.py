@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import mixing, shard_tree
-from tidegauge.llm.common import table
+from tidegauge.llm import crossparse, factorisation, mixing, packing, quotes, rules, shard_tree, simhash
+from tidegauge.llm.common import table, vocabulary
 
 
 def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,13 +15,45 @@ def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", mixed["group_size"].alias("source_size"), "target", "copies", "taken")
 
 
+def op2_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
+def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+def op7_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorisation.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crossparse.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(table(spark, sf_dir, "documents"), shards=24)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
+    "op2_pack_nnls": op2_pack_nnls,
+    "op4_weak_supervision": op4_weak_supervision,
+    "op5_quotation_links": op5_quotation_links,
+    "op7_factorisation_machine": op7_factorisation_machine,
+    "op8_simhash_gray": op8_simhash_gray,
     "op9_shard_tree": op9_shard_tree,
+    "op10_cross_parsing": op10_cross_parsing,
 }
 
 LLM_ORACLES: dict[str, str] = {}
