@@ -1,8 +1,9 @@
 """Quality classifier: a factorisation machine over hashed words and structure statistics.
 
 A document is a sum of features, each with a weight and a low-rank factor: its words,
-hashed into ``BUCKETS`` cells and weighing 1 / sqrt(words) together with their
-repeats, and its structure statistics, each cut into steps. All pairs of features
+hashed into ``BUCKETS`` cells, and its structure statistics, each cut into steps.
+A group of n features weighs 1 / sqrt(n) each, words ``WORD_SHARE`` of that, since
+single words say less than structure. All pairs of features
 interact through the product of their factors; the sum-of-squares identity
 
     sum over pairs <v_i, v_j> x_i x_j = (|sum v_i x_i|^2 - sum |v_i x_i|^2) / 2
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
 RANK = 8
-STEPS_PER_STATISTIC = 24
+STEPS_PER_STATISTIC = 16
 TRAINING_ROWS = 8000
 TRAINING_WORDS = 400  # words of a training document that are used, evenly over the text
 EPOCHS = 8
@@ -36,6 +37,7 @@ BATCH = 64
 RATE = 0.05
 PENALTY = 1e-5
 KEEP_FROM = 0.7
+WORD_SHARE = 0.4
 CACHED_WORDS = 300_000
 
 # Characters whose share of the text is a statistic.
@@ -75,21 +77,24 @@ def statistics(data: bytes, words: list[bytes]) -> np.ndarray:
             min(n / max(len(lines), 1) / 256, 1.0),
             min(np.log1p(n) / 12, 1.0),
             (counts[46] + counts[33] + counts[63]) / n,
+            sum(a == b for a, b in zip(words, words[1:])) / n,
+            1 - len(set(zip(words, words[1:], words[2:]))) / max(len(words) - 2, 1) if len(words) > 2 else 0.0,
         ]
     )
 
 
-N_STATISTICS = len(MARKS) + 13
+N_STATISTICS = len(MARKS) + 15
 
 
 def features(text: str | None, buckets: Buckets) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the text's features: words with repeats, and one step per statistic."""
+    """Numbers of the text's features: words with repeats, and the steps that each statistic reaches."""
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
     # square roots spread out the small shares, where most texts differ
     step = np.minimum((np.sqrt(statistics(data, words)) * STEPS_PER_STATISTIC).astype(np.int64), STEPS_PER_STATISTIC - 1)
-    stats = BUCKETS + np.arange(N_STATISTICS) * STEPS_PER_STATISTIC + step
-    return np.fromiter(map(buckets.__getitem__, data.lower().split()), np.int64, len(words)), stats
+    # all steps up to its own: near values share most of their features
+    reached = np.arange(STEPS_PER_STATISTIC) <= step[:, None]
+    return np.fromiter(map(buckets.__getitem__, data.lower().split()), np.int64, len(words)), BUCKETS + np.flatnonzero(reached)
 
 
 @dataclass(frozen=True)
@@ -101,7 +106,7 @@ class Model:
     def score(self, words: np.ndarray, stats: np.ndarray) -> float:
         """Probability of label 1."""
         linear, total, square = self.bias, np.zeros(self.factors.shape[1]), 0.0
-        for numbers, x in ((words, _worth(len(words))), (stats, _worth(len(stats)))):
+        for numbers, x in ((words, WORD_SHARE * _worth(len(words))), (stats, _worth(len(stats)))):
             if len(numbers):
                 v = self.factors[numbers]
                 linear += x * float(self.weights[numbers].sum())
@@ -114,8 +119,8 @@ def _worth(n: int) -> float:
     return 1 / np.sqrt(n) if n else 0.0
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
-    """Minibatch Adagrad on the logistic loss; both classes weigh the same in total.
+def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], prior: float, seed: int = 7) -> Model:
+    """Minibatch Adagrad on the logistic loss; label 1 weighs ``prior`` of the total.
 
     With no example, or of one class only, the model knows the share of label 1 alone.
     """
@@ -127,9 +132,9 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Mo
     rng = np.random.default_rng(seed)
     bias, weights, factors = 0.0, np.zeros(size), rng.normal(0, 0.02, (size, RANK))
     seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, RANK), 1e-6), 1e-6
-    balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    balance = np.where(labels == 1, prior / share, (1 - prior) / (1 - share))
     flat = [np.concatenate(e[:2]) for e in examples]
-    worth = [np.concatenate([np.full(len(w), _worth(len(w))), np.full(len(s), _worth(len(s)))]) for w, s, _ in examples]
+    worth = [np.concatenate([np.full(len(w), WORD_SHARE * _worth(len(w))), np.full(len(s), _worth(len(s)))]) for w, s, _ in examples]
     for _ in range(EPOCHS):
         order = rng.permutation(len(examples))
         for at in range(0, len(order), BATCH):
@@ -193,7 +198,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     columns = documents.select(F.col("doc_id"), "text").join(sample, "doc_id")
     rows = columns.mapInPandas(numbers, "doc_id long, words array<long>, stats array<long>, quality int").collect()  # about TRAINING_ROWS rows
     rows.sort(key=lambda r: (r["doc_id"], r["words"]))
-    return fit([(np.array(r["words"], np.int64), np.array(r["stats"], np.int64), r["quality"]) for r in rows])
+    prior = sizes.get(1, 0) / max(sum(sizes.values()), 1)
+    return fit([(np.array(r["words"], np.int64), np.array(r["stats"], np.int64), r["quality"]) for r in rows], prior)
 
 
 def scored(documents: DataFrame, model: Model, out: str = "score") -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import crossparse, factorisation, mixing, packing, quotes, rules, shard_tree, simhash
+from tidegauge.llm import crossparse, factorisation, mixing, packing, prefix_hash, quotes, rules, shard_tree, simhash, warc
 from tidegauge.llm.common import table, vocabulary
+from tidegauge.session import scratch_path
 
 
 def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op2_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
@@ -29,6 +34,10 @@ def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(table(spark, sf_dir, "conversations"))
 
 
+def op6_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factorisation.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,8 +57,10 @@ def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_pack_nnls": op2_pack_nnls,
+    "op3_warc_chunks": op3_warc_chunks,
     "op4_weak_supervision": op4_weak_supervision,
     "op5_quotation_links": op5_quotation_links,
+    "op6_prefix_hashes": op6_prefix_hashes,
     "op7_factorisation_machine": op7_factorisation_machine,
     "op8_simhash_gray": op8_simhash_gray,
     "op9_shard_tree": op9_shard_tree,

@@ -24,7 +24,11 @@ from tidegauge.llm.common import BLANKS, as_text, materialise
 SPAN = 8  # words of a window
 MIN_WORDS = 20
 STEPS = 25
-ACCURACY = (0.55, 0.995)  # a rule stays better than a coin, and none is ever certain
+# Bounds of a rule's accuracy. On good documents rules are mostly right. Each kind of bad
+# document shows in a few rules only, so a vote of good may mean little; none is certain.
+ON_GOOD = (0.9, 0.999)
+ON_BAD = (0.02, 0.999)
+START = (0.97, 0.4)
 KEEP_FROM = 0.5
 
 
@@ -55,14 +59,14 @@ def per_char(name: str) -> Column:
 def rules() -> list[Rule]:
     """The rules. Their bounds are wide apart; between them a rule abstains."""
     return [
-        Rule("symbols", per_char("n_symbols"), 0.02, 0.08),
+        Rule("symbols", per_char("n_symbols"), 0.02, 0.06),
         Rule("repeats", per_word("n_repeat_words"), 0.05, 0.25),
         Rule("dup_lines", F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.1, 0.3),
         Rule("capitals", per_char("n_capitals"), 0.12, 0.35),
         Rule("shouts", per_word("n_shouts"), 0.05, 0.3),
         Rule("sentences", F.col("n_words") / F.greatest(F.col("n_stops"), F.lit(1)), 40.0, 120.0),
         Rule("word_length", F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)), 9.0, 14.0),
-        Rule("plain_words", per_word("n_plain"), 0.6, 0.3),
+        Rule("plain_words", per_word("n_plain"), 0.85, 0.6),
     ]
 
 
@@ -139,7 +143,7 @@ def estimate(patterns: DataFrame, names: list[str]) -> tuple[float, dict[str, tu
     with its posterior and counts votes again. Estimates are rounded, so that the
     order of sums doesn't show.
     """
-    share, right = 0.8, {n: (0.8, 0.8) for n in names}
+    share, right = 0.8, {n: START for n in names}
     for _ in range(STEPS):
         good = posterior(share, right)
         sums = [F.sum("count").alias("n"), F.sum(F.col("count") * good).alias("good")]
@@ -153,11 +157,11 @@ def estimate(patterns: DataFrame, names: list[str]) -> tuple[float, dict[str, tu
             break
         before = (share, right)
         share = round(min(max(row["good"] / row["n"], 0.05), 0.95), 6)
-        # one vote of each kind is added, so that a rule that never votes keeps its place
+        # one vote is added, so that a rule that never votes keeps what it started with
         right = {
             n: tuple(
-                round(min(max((row[f"{hit}_{n}"] + 0.8) / (row[f"{cast}_{n}"] + 1.0), ACCURACY[0]), ACCURACY[1]), 6)
-                for hit, cast in (("gg", "g"), ("bb", "b"))
+                round(min(max((row[f"{hit}_{n}"] + start) / (row[f"{cast}_{n}"] + 1.0), low), high), 6)
+                for hit, cast, start, (low, high) in (("gg", "g", START[0], ON_GOOD), ("bb", "b", START[1], ON_BAD))
             )
             for n in names
         }
