@@ -21,7 +21,7 @@ from tidegauge.operators.cumulative import (
     thin,
 )
 from tidegauge.operators.distance import paired_effects, paired_psi
-from tidegauge.session import small_rows
+from tidegauge.session import metadata_table, small_rows
 from tidegauge.types import MIN_VALUES, MonitorSpec
 
 Sizes = dict[str, tuple[int, Cuts]]
@@ -116,6 +116,15 @@ def _axis_number(df: DataFrame, axis: str) -> Column:
     return number(c)
 
 
+# Where rows without an axis value stand: behind all others. Larger than any time or
+# position, and far enough from the largest number to be calculated with.
+LAST = 1e300
+
+
+def _axis_place(df: DataFrame, axis: str) -> Column:
+    return F.coalesce(_axis_number(df, axis), F.lit(LAST))
+
+
 def block_bounds(
     df: DataFrame,
     axis: str,
@@ -129,11 +138,11 @@ def block_bounds(
 
     Order positions are found by counting, first along the axis, then along the
     unique tie-breaker inside the few axis values where a block begins; the rows are
-    never numbered. ``features=None`` orders all rows, otherwise each feature orders
+    never numbered. Rows without an axis value come last. ``features=None`` orders all rows, otherwise each feature orders
     the rows where it is finite. Returns row count and at most ``blocks`` bounds.
     """
     every = "__rows"
-    a, t = _axis_number(df, axis), number(quoted(tie))
+    a, t = _axis_place(df, axis), number(quoted(tie))
     base = df.select(a.alias("a"), t.alias("t"), *[finite(quoted(f)).alias(f"x{i}") for i, f in enumerate(features or [])])
     if features is None:
         long = base.select(F.lit(every).alias("feature"), "a", "t")
@@ -156,7 +165,7 @@ def block_bounds(
 
     size_sql = f"(n_all div {blocks})"
     rows = small_rows(
-        located(long.where("a is not null"), ["feature"], "a", f"cast((i + 1) * {size_sql} as double)", blocks, size_sql, 1.0)
+        located(long, ["feature"], "a", f"cast((i + 1) * {size_sql} as double)", blocks, size_sql, 1.0)
     )
     out: dict[str, tuple[int, list[tuple[float, float]]]] = {}
     wanted = {}
@@ -224,7 +233,7 @@ def block_split_effects(
     bounds = block_bounds(reference, axis, tie, blocks, rows_per_bucket=rows_per_bucket)["__rows"][1]
     splits = finite_cuts(sizes or sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket))
     rows = (
-        reference.withColumn("__a", _axis_number(reference, axis))
+        reference.withColumn("__a", _axis_place(reference, axis))
         .withColumn("__t", number(quoted(tie)))
         .withColumn("block", F.expr(block_number_sql(bounds, "__a", "__t")))
         .where(F.col("block") < blocks)
@@ -365,13 +374,15 @@ def homogeneity_by_feature(
     finite values in axis order, or random halves."""
     sizes = sketch_features(df, features, rows_per_bucket=rows_per_bucket)
     kept = [f for f in features if sizes[f][0] >= min_values]
+    if not kept:
+        return metadata_table(df.sparkSession, [], "feature string, n bigint, h double, verdict string")
     splits = {f: sizes[f][1] for f in kept}
     spec = MonitorSpec(num=tuple(kept), bins=bins)
     if mode == "block":
         if axis is None:
             raise ValueError("block halves need an axis")
         bounds = block_bounds(df, axis, key, 2, kept, rows_per_bucket=rows_per_bucket)
-        base = df.withColumn("__a", _axis_number(df, axis)).withColumn("__t", number(quoted(key)))
+        base = df.withColumn("__a", _axis_place(df, axis)).withColumn("__t", number(quoted(key)))
         slots = {f: f"__x{i}" for i, f in enumerate(kept)}
         base = base.select("__a", "__t", *[finite(quoted(f)).alias(s) for f, s in slots.items()])
         base = with_buckets(base, {s: splits[f] for f, s in slots.items()})
@@ -408,14 +419,12 @@ def homogeneity_audit(
     features: Sequence[str],
     bins: int = 10,
     min_values: int = 501,
-    max_features: int | None = 60,
     repetitions: int = 150,
     cells: int | None = None,
 ) -> DataFrame:
     """Block H beside random H for each numeric column with more than 500 values."""
     sizes = sketch_features(df, features)
     usable = [f for f in features if f != axis and sizes[f][0] >= min_values]
-    usable = usable[:max_features] if max_features else usable
     block = homogeneity_by_feature(df, usable, key=key, axis=axis, bins=bins)
     random = homogeneity_by_feature(
         df, usable, key=key, bins=bins, mode="random", repetitions=repetitions, cells=cells

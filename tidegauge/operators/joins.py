@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,23 +30,17 @@ def join_one_to_one(
 ) -> DataFrame:
     """Equi-join that refuses duplicate keys on either side.
 
-    The check rides inside the join: each side counts its key with the shuffle the
-    join needs anyway, and a duplicate raises while the query runs.
+    Each side counts its key over the partitioning and order that the join needs
+    anyway, and a filter raises on a duplicate while the query runs. A filter stays
+    whatever columns are read later, be it only a count.
     """
     if how not in ("left", "inner"):
         raise ValueError("one-to-one joins are 'left' or 'inner'")
 
     def checked(df: DataFrame, side: str) -> DataFrame:
-        payload = [c for c in df.columns if c not in keys]
-        grouped = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.first(F.struct(*payload) if payload else F.lit(None)).alias("__row"),
-        )
-        ok = F.when(F.col("__n") == 1, F.col("__row")).otherwise(
-            F.raise_error(F.lit(f"duplicate key on the {side} side")).cast(grouped.schema["__row"].dataType)
-        )
-        checked_rows = grouped.select(*keys, ok.alias("__row"))
-        return checked_rows.select(*keys, *[F.col(f"__row.{p}").alias(p) for p in payload])
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        refused = F.raise_error(F.lit(f"duplicate key on the {side} side")).cast("boolean")
+        return df.withColumn("__n", n).where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(refused)).drop("__n")
 
     return checked(left, "left").join(checked(right, "right"), list(keys), how)
 
@@ -79,7 +73,3 @@ def suffixed_join(
         return df.select(*[F.col(c) if c in keys else F.col(c).alias(c + suffix) for c in df.columns])
 
     return side(left, suffixes[0]).join(side(right, suffixes[1]), list(keys))
-
-
-def coalesce_zero(column: Column | str) -> Column:
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(0))

@@ -327,8 +327,7 @@ def suffixed_tables(spark, d):
 def category_alignment(spark, d):
     ev = planted(spark, d)
     side = F.col("day") <= REFERENCE_DAYS
-    kept = ev.where(side | ((F.col("day") > 27) & (F.col("event_type") != "signup")))
-    return kept.groupBy(F.col("event_type").alias("category")).agg(F.count_if(side).alias("n_ref"), F.count_if(~side).alias("n_cur"))
+    return ev.groupBy(F.col("event_type").alias("category")).agg(F.count_if(side).alias("n_ref"), F.count_if(~side).alias("n_cur"))
 
 
 @query
@@ -389,10 +388,8 @@ def ks_statistic(spark, d):
 def ks_pvalue(spark, d):
     p = profile_of(spark, d, NUMERIC)
     out = numeric_statistics(planted(spark, d), p, ["seg"], WINDOW)
-    n_ref = p.numeric["value"].n_valid
-    return out.where("feature = 'value'").select(
-        "seg", "window", r6(stats.ks_pvalue("ks", F.lit(n_ref), "n_cur_valid")).alias("p_value")
-    )
+    n_ref = F.when(F.col("feature") == "value", p.numeric["value"].n_valid).otherwise(p.numeric["k"].n_valid)
+    return out.select("seg", "window", "feature", r6(stats.ks_pvalue("ks", n_ref, "n_cur_valid")).alias("p_value"))
 
 
 @query
@@ -555,9 +552,9 @@ def operational_floor(spark, d):
     return out.select("n_ref", "n_window", r6("floor").alias("floor"), r6("threshold").alias("threshold"))
 
 
-def segment_calibrations(spark: SparkSession, d: str, share: int) -> DataFrame:
+def segment_calibrations(rows: DataFrame) -> DataFrame:
     """A calibration row per segment from its own row counts."""
-    n = events(spark, d).where(F.col("event_id") % share == 0).groupBy("seg").agg(F.count(F.lit(1)).alias("n_reference"))
+    n = rows.groupBy("seg").agg(F.count(F.lit(1)).alias("n_reference"))
     floor = stats.analytic_floor(F.floor(F.col("n_reference") / 2), F.col("n_reference") - F.floor(F.col("n_reference") / 2), k_features=2)
     return n.withColumn("analytic_floor", floor).withColumn("suggested_threshold", F.col("analytic_floor") * 3).withColumn(
         "verdict", F.when(F.col("seg") == 3, cal.CONTAMINATED).otherwise(cal.HOMOGENEOUS)
@@ -566,8 +563,8 @@ def segment_calibrations(spark: SparkSession, d: str, share: int) -> DataFrame:
 
 @query
 def regime_comparison(spark, d):
-    small = segment_calibrations(spark, d, 5)
-    out = cal.compare_regimes(small, segment_calibrations(spark, d, 1), ["seg"])
+    ev = events(spark, d)
+    out = cal.compare_regimes(segment_calibrations(ev.where("event_type = 'error'")), segment_calibrations(ev), ["seg"])
     return out.select("seg", "threshold_in_floors", "floor_ratio", r6("calibrated_for_n", 3).alias("calibrated_for_n"), "regime", "contaminated")
 
 
@@ -586,9 +583,9 @@ def contract_violations(spark, d):
 
 @query
 def edge_periods(spark, d):
-    ev = events(spark, d)
-    thin = ev.where((F.col("day") > 2) | (F.col("event_id") % 4 == 0))
-    return kept_periods(thin, "day").select(long("day"), "n", "is_reference")
+    days = F.datediff(F.col("o_orderdate"), F.lit("1992-01-01").cast("date"))
+    weeks = table(spark, d, "orders").select(F.floor(days / 7).cast("long").alias("week"))
+    return kept_periods(weeks, "week").select("week", "n", "is_reference")
 
 
 # --- performance -----------------------------------------------------------
@@ -845,8 +842,8 @@ def time_axis(spark, d):
 @query
 def artefact_checks(spark, d):
     m = meta(spark, d)
-    feats = table(spark, d, "orders").where("o_orderkey <> 1").select(F.col("o_orderkey").alias("Id"))
-    out = checks.artefact_checks(m, feats, min_stations=5, min_weeks=15)
+    feats = table(spark, d, "orders").select(F.col("o_orderkey").alias("Id"))
+    out = checks.artefact_checks(m, feats, min_stations=5, min_weeks=15, position="Id")
     return out.select("check", "ok", r6("observed").alias("observed"))
 
 
@@ -907,8 +904,9 @@ def stream_window_monitor(spark, d):
     counts = wm.unit_count_stream(event_stream(spark, d), p, "ts", origin_day=ORIGIN_DAY)
     sink = scratch_path(spark, "unit_counts")
     wm.run_available(counts, sink, sink + "_checkpoint")
-    appended = read_window_dir(spark, sink)
-    out = wm.report_from_counts(appended, p, SlidingWindow("day", first=18, last=28, width=3))
+    # the input is finished, so the units after the watermark are complete as well
+    closed = read_window_dir(spark, sink).unionByName(wm.open_units(spark, sink + "_checkpoint", origin_day=ORIGIN_DAY))
+    out = wm.report_from_counts(closed, p, WINDOW)
     return out.select("window", "feature", "kind", "n_cur", r6("effect").alias("effect"), "measurable", "over")
 
 

@@ -288,7 +288,7 @@ ORACLES["presence_spread"] = with_(DATE_CTE, META) + ",\nsh AS (" + " UNION ALL
 SELECT station, {r("min(s)", "lowest")}, {r("max(s)", "highest")}, {r("max(s) - min(s)", "spread")} FROM sh GROUP BY station"""
 ORACLES["artefact_checks"] = with_(DATE_CTE, META) + f""",
 wk AS (SELECT week, avg(Response) AS r FROM meta GROUP BY week),
-ft AS (SELECT o_orderkey AS Id FROM orders WHERE o_orderkey <> 1),
+ft AS (SELECT o_orderkey AS Id FROM orders),
 o AS (SELECT 'unique key in meta' AS "check", (SELECT count(*) FROM (SELECT Id FROM meta GROUP BY Id HAVING count(*) > 1))::DOUBLE AS observed, 0.0 AS lo, 0.0 AS hi, false AS strict
  UNION ALL SELECT 'unique key in features', (SELECT count(*) FROM (SELECT Id FROM ft GROUP BY Id HAVING count(*) > 1)), 0, 0, false
  UNION ALL SELECT 'same keys', (SELECT count(*) FROM meta FULL JOIN ft ON meta.Id = ft.Id WHERE meta.Id IS NULL OR ft.Id IS NULL), 0, 0, false
@@ -296,6 +296,7 @@ o AS (SELECT 'unique key in meta' AS "check", (SELECT count(*) FROM (SELECT Id F
  UNION ALL SELECT 'failure rate in range', (SELECT avg(Response) FROM meta), 0.004, 0.008, true
  UNION ALL SELECT 'enough weeks', (SELECT count(DISTINCT week) FROM meta), 15, 1e9, false
  UNION ALL SELECT 'presence columns', 5, 5, 1e9, false
+ UNION ALL SELECT 'time order', (SELECT count(*) FROM (SELECT t_min < lag(t_min) OVER (ORDER BY Id) AS falls FROM meta WHERE t_min IS NOT NULL) WHERE falls), 0, 0, false
  UNION ALL SELECT 'failures spread over time', (SELECT stddev_samp(r) / avg(r) FROM wk), -1, 2, true)
 SELECT "check", CASE WHEN strict THEN observed > lo AND observed < hi ELSE observed >= lo AND observed <= hi END AS ok, {r("observed", "observed")} FROM o""".lstrip()
 
@@ -314,7 +315,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 ORACLES["inner_one_to_one"] = with_(DATE_CTE, META) + f"""SELECT week, count(*) AS n, {r("sum(o_totalprice)", "price", 2)} FROM meta JOIN orders ON Id = o_orderkey GROUP BY week"""
 ORACLES["suffixed_tables"] = with_(EV) + """SELECT event_type, count(*) FILTER (day <= 15) AS n_ref, count(*) FILTER (day > 15) AS n_cur FROM ev GROUP BY event_type"""
 ORACLES["category_alignment"] = with_(EV, PLANTED) + """SELECT event_type AS category, count(*) FILTER (day <= 15) AS n_ref, count(*) FILTER (day > 15) AS n_cur
-FROM pl WHERE day <= 15 OR (day > 27 AND event_type <> 'signup') GROUP BY 1"""
+FROM pl GROUP BY 1"""
 ORACLES["membership"] = with_(EV) + """, dc AS (SELECT day, count(*) AS n FROM ev GROUP BY day),
 kept AS (SELECT day FROM dc WHERE n > 0.4 * (SELECT median(n) FROM dc) ORDER BY day LIMIT 4)
 SELECT 'in' AS part, count(*) AS n FROM ev WHERE day IN (SELECT day FROM kept) UNION ALL SELECT 'out', count(*) FROM ev WHERE day NOT IN (SELECT day FROM kept)""".lstrip()
@@ -340,8 +341,8 @@ ORACLES["wasserstein"] = with_(*CDF_EV) + f"SELECT {W}, feature, {r('sum(abs(fa
 ORACLES["ks_statistic"] = with_(*CDF_EV) + f"SELECT {W}, feature, {r('max(abs(fa - fb))', 'ks')} FROM cdf GROUP BY ALL"
 SW = f"seg, {W}"
 ORACLES["ks_pvalue"] = with_(EV, REF, PLANTED, LR, windows("pl", "cw"), long_num("cw", "lw", SW), cdf_shared("lr", "lw", SW),
-    f"d AS (SELECT {SW}, max(abs(fa - fb)) AS d, max(n) AS n, max(m) AS m FROM cdf WHERE feature = 'value' GROUP BY ALL)") + (
-    f"SELECT {SW}, {r(ks_p('d', 'n', 'm'), 'p_value')} FROM d"
+    f"d AS (SELECT {SW}, feature, max(abs(fa - fb)) AS d, max(n) AS n, max(m) AS m FROM cdf GROUP BY ALL)") + (
+    f"SELECT {SW}, feature, {r(ks_p('d', 'n', 'm'), 'p_value')} FROM d"
 )
 ORACLES["chi2_statistic"] = with_(EV, REF, PLANTED, windows("pl", "cw"), cat_stats("ref", "cw", W, "event_type")) + (
     f"SELECT {W}, 'event_type' AS feature, {r('chi2', 'chi2', 4)}, CAST(c - 1 AS BIGINT) AS dof FROM cat"
@@ -423,12 +424,12 @@ ORACLES["operational_floor"] = with_(EV, "c AS (SELECT day, count(*) AS n FROM e
     f"y AS (SELECT *, {dbl(Q2)} * (1.0 / n_ref + 1.0 / n_window) * 0.93 AS f FROM x)") + f"SELECT n_ref, n_window, {r('f', 'floor')}, {r('f * 3', 'threshold')} FROM y"
 
 
-def seg_cal(share: int, name: str) -> str:
-    return f"""{name}_n AS (SELECT seg, count(*) AS n FROM ev WHERE event_id % {share} = 0 GROUP BY seg),
+def seg_cal(kept: str, name: str) -> str:
+    return f"""{name}_n AS (SELECT seg, count(*) AS n FROM ev WHERE {kept} GROUP BY seg),
 {name} AS (SELECT seg, n, {dbl(Q2)} * (1.0 / (n // 2) + 1.0 / (n - n // 2)) AS f, seg = 3 AS bad FROM {name}_n)"""
 
 
-ORACLES["regime_comparison"] = with_(EV, seg_cal(5, "a"), seg_cal(1, "b"), "x AS (SELECT a.seg, 3 * a.f AS t, a.f AS fa, b.f AS fb, 3 * a.f / b.f AS s, a.bad OR b.bad AS contaminated FROM a JOIN b USING (seg))") + f"""
+ORACLES["regime_comparison"] = with_(EV, seg_cal("event_type = 'error'", "a"), seg_cal("true", "b"), "x AS (SELECT a.seg, 3 * a.f AS t, a.f AS fa, b.f AS fb, 3 * a.f / b.f AS s, a.bad OR b.bad AS contaminated FROM a JOIN b USING (seg))") + f"""
 SELECT seg, round(s, 1) AS threshold_in_floors, round(fb / fa, 3) AS floor_ratio, {r(f"{dbl(Q1)} * 2 / t", "calibrated_for_n", 3)},
 CASE WHEN s > 10 THEN 'blind' WHEN s > 3 THEN 'conservative' WHEN s > 1 THEN 'transfers' ELSE 'perpetual alarm' END AS regime, contaminated FROM x"""
 ORACLES["contract_violations"] = f"""WITH n AS (SELECT event_type, count(*) AS n, count(*) FILTER (value < 100) AS ok FROM events GROUP BY event_type),
@@ -437,8 +438,8 @@ c AS (SELECT event_type, CASE WHEN event_type <> 'view' THEN 0.02 END AS thresho
 SELECT event_type, 'missing threshold' AS violation FROM c WHERE threshold IS NULL
 UNION ALL SELECT event_type, 'threshold inside the floor' FROM c WHERE threshold <= floor
 UNION ALL SELECT event_type, 'suite has failures' FROM c WHERE total > 0 AND ok < total"""
-ORACLES["edge_periods"] = with_(EV, "c AS (SELECT day, count(*) AS n FROM ev WHERE day > 2 OR event_id % 4 = 0 GROUP BY day)",
-    "k AS (SELECT * FROM c WHERE n > 0.4 * (SELECT median(n) FROM c))") + "SELECT CAST(day AS BIGINT) AS day, n, row_number() OVER (ORDER BY day) <= 4 AS is_reference FROM k"
+ORACLES["edge_periods"] = """WITH c AS (SELECT CAST(floor(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) / 7.0) AS BIGINT) AS week, count(*) AS n FROM orders GROUP BY 1),
+k AS (SELECT * FROM c WHERE n > 0.4 * (SELECT median(n) FROM c)) SELECT week, n, row_number() OVER (ORDER BY week) <= 4 AS is_reference FROM k"""
 
 # --- performance -----------------------------------------------------------
 EST = "n_pos >= 8 AND n_pos < n"
@@ -597,7 +598,7 @@ e4 AS (SELECT *, n * (n - 1) / 2.0 AS pairs, n * (n - 1) / 2.0 - c - d AS t, lis
   list_max(list_transform(range(2, len(l) + 1), lambda j: l[j] - l[j - 1])) AS rise FROM e3)
 SELECT user_id, CAST(day AS BIGINT) AS day, CAST(n AS BIGINT) AS points, round(CASE WHEN pairs > 0 AND pairs > t THEN (c - d) / sqrt(pairs * (pairs - t)) END, 6) + 0.0 AS tau,
 round(CASE WHEN spread > 0 THEN rise / spread END, 6) + 0.0 AS max_rise FROM e4"""
-ORACLES["stream_window_monitor"] = with_(EV, REF, LR, windows("ev", "cw", 18, 28), long_num("cw", "lw", W), psi_shared("lr", "lw", W),
+ORACLES["stream_window_monitor"] = with_(EV, REF, LR, windows("ev", "cw", 18, 30), long_num("cw", "lw", W), psi_shared("lr", "lw", W),
     cat_stats("ref", "cw", W, "event_type"), f"nc AS (SELECT {W}, count(*) AS n_cur FROM cw GROUP BY ALL)",
     f"x AS (SELECT {W}, feature, 'num' AS kind, psi AS e, m FROM psi UNION ALL SELECT {W}, 'event_type', 'cat', js * 2.5, m FROM cat)",
     f"z AS (SELECT {W}, feature, kind, n_cur, CASE WHEN n_cur >= 200 AND m >= 20 THEN e END AS e FROM x JOIN nc USING ({W}))") + (

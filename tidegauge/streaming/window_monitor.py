@@ -7,7 +7,7 @@ window overlap cost no extra state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +50,11 @@ def unit_count_stream(
     timed = stream.withColumn("__t", utc_instant(stream, time)).withWatermark("__t", watermark)
     long = timed.select("__t", F.expr(f"inline(array({', '.join(slots)}))")).where("slot is not null")
     counted = long.groupBy(F.window("__t", unit), "feature", "slot").agg(F.count(F.lit(1)).alias("n"))
-    day = (F.floor(F.unix_micros(F.col("window.start")) / MICROS_PER_DAY) - origin_day).cast("bigint")
-    return counted.select(day.alias("day"), "feature", "slot", "n")
+    return counted.select(_day("window.start", origin_day).alias("day"), "feature", "slot", "n")
+
+
+def _day(start: str, origin_day: int) -> Column:
+    return (F.floor(F.unix_micros(F.col(start)) / MICROS_PER_DAY) - origin_day).cast("bigint")
 
 
 def run_available(counts: DataFrame, sink: str, checkpoint: str) -> None:
@@ -64,6 +67,18 @@ def run_available(counts: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def open_units(spark: SparkSession, checkpoint: str, *, origin_day: int) -> DataFrame:
+    """Counts of the units that the watermark has not closed yet, in the appended schema.
+
+    Read from the stream's state. Once the input is finished, appended and open units
+    together are all there is; while it runs, open units are preliminary.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        _day("key.window.start", origin_day).alias("day"), "key.feature", "key.slot", F.col("value.count").alias("n")
+    )
+
+
 def report_from_counts(counts: DataFrame, profile: ReferenceProfile, window: SlidingWindow) -> DataFrame:
     """``window, feature, kind, n_cur, effect, measurable, over`` from appended unit counts."""
     spec, spark = profile.spec, counts.sparkSession
