@@ -14,6 +14,7 @@ takes the k-th place that the plan has for its length.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -34,11 +35,27 @@ CACHED_WORDS = 300_000  # words whose ids a task remembers; forgotten together w
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+# Fixed values of the vocabulary: its pre-tokenizer's pattern, here for lower-case
+# ASCII and Latin-1 only, and the words that consist of such characters.
+SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordIds(dict):
     """Ids of a word between ASCII blanks, as little-endian bytes.
 
     The tokenizer splits at blanks and drops them, so a text's ids are those of its
-    words in turn; each different word is tokenised once.
+    words in turn; each different word is tokenised once. Most words consist of
+    ASCII and Latin-1 letters, digits and marks: those are lowered and split here, and
+    the vocabulary's merges are asked for each different part. All others, and words
+    that could spell a special token, go through the whole tokenizer.
     """
 
     def __init__(self, vocabulary: str):
@@ -47,12 +64,25 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        self.merges, self.parts, self.letters = self.tokenizer.model, {}, byte_letters()
+
+    def part(self, part: str) -> bytes:
+        if len(self.parts) >= CACHED_WORDS:
+            self.parts.clear()
+        spelled = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        self.parts[part] = found = np.array([t.id for t in self.merges.tokenize(spelled)], "<u4").tobytes()
+        return found
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        text = word.decode("utf-8", "replace")
+        if SIMPLE.fullmatch(text) and "<|" not in text:
+            known = self.parts
+            found = b"".join([known.get(p) or self.part(p) for p in PARTS.findall(text.lower())])
+        else:
+            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) >= CACHED_WORDS:
             self.clear()
-        self[word] = found = np.array(ids, "<u4").tobytes()
+        self[word] = found
         return found
 
 
