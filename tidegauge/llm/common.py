@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.session import materialise
 
-__all__ = ["BLANKS", "as_text", "count_words", "materialise", "number_within", "table", "uniform", "vocabulary"]
+__all__ = ["BLANKS", "as_text", "count_words", "materialise", "number_within", "spare", "table", "uniform", "vocabulary"]
 
 # The white space of every operator here: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"\x20\x09-\x0D"
@@ -26,6 +26,14 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def as_text(text: Column) -> Column:
     """The text, with NULL as the empty text."""
     return F.coalesce(text, F.lit(""))

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import spare
+
 REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
 SYMBOLS = 64  # letters told apart, and the space
@@ -235,5 +237,6 @@ def identify(documents: DataFrame) -> DataFrame:
 
 def accepted(documents: DataFrame) -> DataFrame:
     """The documents whose language is known, with their columns."""
-    rows = predicted(documents, learn(documents))
-    return rows.where(F.col("_language.lang_pred") != UNKNOWN).drop("_language")
+    language = spare(documents, "language")
+    rows = predicted(documents, learn(documents), language)
+    return rows.where(F.col(language)["lang_pred"] != UNKNOWN).drop(language)

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import spare
+
 BUCKETS = 1 << 15
 RANK = 8
 STEPS_PER_STATISTIC = 16
@@ -229,5 +231,6 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score at least ``KEEP_FROM``, with their columns."""
-    rows = scored(documents, train(documents, labels), "_score")
-    return rows.where(F.col("_score") >= KEEP_FROM).drop("_score")
+    score = spare(documents, "score")
+    rows = scored(documents, train(documents, labels), score)
+    return rows.where(F.col(score) >= KEEP_FROM).drop(score)

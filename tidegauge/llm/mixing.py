@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import count_words, materialise
+from tidegauge.llm.common import count_words, materialise, spare
 from tidegauge.session import metadata_table
 
 CAP = 3
@@ -189,12 +189,10 @@ def mixed_documents(documents: DataFrame, weights: Sequence[float] = WEIGHTS, ca
 
     Documents that share a ``doc_id`` share its copies, the earlier texts first.
     """
-    names = documents.columns
-    copies = mix(documents, weights, cap).groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    joined = documents.alias("a").join(copies.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")))
-    rows = joined.select("a.*", "b._copies", "b._rows")
+    copies, n = spare(documents, "copies"), spare(documents, "rows")
+    taken = mix(documents, weights, cap).groupBy("doc_id").agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(n))
+    rows = documents.alias("a").join(taken.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))).select("a.*", f"b.{copies}", f"b.{n}")
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text"), "text"))
-    each = F.floor(F.col("_copies") / F.col("_rows")) + F.when(nth <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    return rows.withColumn("_each", each.cast("int")).where("_each > 0").select(
-        *[F.col(c) for c in names], F.explode(F.array_repeat(F.lit(0), F.col("_each"))).alias("_copy")
-    ).select(*names)
+    own = F.floor(F.col(copies) / F.col(n)) + F.when(nth <= F.col(copies) % F.col(n), 1).otherwise(0)
+    each = rows.withColumn(n, own.cast("int")).where(F.col(n) > 0)
+    return each.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*documents.columns)

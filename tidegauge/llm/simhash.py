@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialise
+from tidegauge.llm.common import materialise, spare
 
 RADIUS = 2
 SHINGLE = 3
@@ -231,13 +231,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     of_fp = codes.join(rooted.join(least, "root").select("fp", "component_id"), "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id")
     )
+    of_fp = materialise(of_fp)  # both sides of the join are then shuffles that Spark can split where a copy is common
     return marked.join(of_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def representatives(documents: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each class the one with the smallest id, all columns kept."""
-    kept = near_duplicates(documents).groupBy("component_id").agg(F.lit(True).alias("_kept")).select("component_id")
+    kept = near_duplicates(documents).select("component_id").distinct()
     ids = F.col("a.doc_id").eqNullSafe(F.col("b.component_id"))
     rows = documents.alias("a").join(kept.alias("b"), ids, "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text"), "text"))
-    return rows.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    nth = spare(documents, "nth")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text"), "text"))
+    return rows.withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
