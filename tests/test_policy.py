@@ -102,13 +102,13 @@ def test_only_reached_guards_are_reported(spark, rows):
     for r in out.collect():
         keys = set(r.guards)
         if r.exit_code == 30:
-            assert keys == {"0_measurable"} and r.guards["0_measurable"] is False and r.evidence is None
+            assert keys == {"measurable"} and r.guards["measurable"] is False and r.evidence is None
         elif r.reason in ("authorised", "cooldown", "shadow failed", "cause unconfirmed"):
-            assert "1b_cause_confirmed" in keys
-            assert ("4_shadow" in keys) == (r.reason != "cause unconfirmed")
-            assert ("2b_cooldown" in keys) or r.reason != "cooldown"
+            assert "cause_repeated" in keys
+            assert ("challenger_gains" in keys) == (r.reason != "cause unconfirmed")
+            assert ("cooled_down" in keys) or r.reason != "cooldown"
         else:
-            assert keys == {"0_measurable", "1_persistence", "3_magnitude", "2_context", "5_cause_is_ml"}
+            assert keys == {"measurable", "lasting", "above_noise", "outside_context", "trainable_cause"}
     shown = guard_table(out, ["monitor"], "day")
     assert shown.where("result = 'BLOCK'").count() > 0 and shown.where("guard is null").count() == 0
 

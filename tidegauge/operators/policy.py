@@ -37,14 +37,14 @@ LIFT_RATIO = 0.35
 SEGMENT_AUC = 0.55
 PRESERVED_GAP = 0.05
 
-# fixed values: guard labels of the decision table
+# What a passed guard says, for reports.
 GUARD_LABELS = {
-    "1_persistence": "1. Persistence (k of n)",
-    "1b_cause_confirmed": "1b. Diagnosis confirmed in consecutive windows",
-    "2_context": "2. Known operating context",
-    "3_magnitude": "3. Magnitude above the measured floor",
-    "4_shadow": "4. Shadow validation (challenger above champion)",
-    "5_cause_is_ml": "5. Cause a model can fix",
+    "lasting": "alarms in enough of the latest windows",
+    "cause_repeated": "the same cause found several times running",
+    "outside_context": "not inside an announced phase of operation",
+    "above_noise": "effect clears what noise alone can reach",
+    "challenger_gains": "a retrained model does better on later rows",
+    "trainable_cause": "a cause that training can remove",
 }
 
 EVIDENCE_COLUMNS = {
@@ -254,14 +254,14 @@ def _cascade(
     guards = F.map_from_entries(
         F.array_compact(
             F.array(
-                reached("0_measurable", F.lit(True), always),
-                reached("1_persistence", F.col("persistent"), always),
-                reached("3_magnitude", F.col("above_floor"), always),
-                reached("2_context", F.col("context_ok"), always),
-                reached("5_cause_is_ml", F.col("cause_is_ml"), always),
-                reached("1b_cause_confirmed", F.col("cause_confirmed"), late),
-                reached("4_shadow", F.col("shadow_ok"), last),
-                reached("2b_cooldown", F.coalesce("retrains", F.lit(False)), cooled),
+                reached("measurable", F.lit(True), always),
+                reached("lasting", F.col("persistent"), always),
+                reached("above_noise", F.col("above_floor"), always),
+                reached("outside_context", F.col("context_ok"), always),
+                reached("trainable_cause", F.col("cause_is_ml"), always),
+                reached("cause_repeated", F.col("cause_confirmed"), late),
+                reached("challenger_gains", F.col("shadow_ok"), last),
+                reached("cooled_down", F.coalesce("retrains", F.lit(False)), cooled),
             )
         )
     )
@@ -281,8 +281,8 @@ def _cascade(
         F.lit(ACTION_NAMES[INSUFFICIENT]).alias("action"),
         F.lit(INSUFFICIENT).alias("exit_code"),
         F.lit(CAUSE_UNDEFINED).alias("cause"),
-        F.lit("too few rows; this does not mean no drift").alias("reason"),
-        F.create_map(F.lit("0_measurable"), F.lit(False)).alias("guards"),
+        F.lit("window too small to be judged").alias("reason"),
+        F.create_map(F.lit("measurable"), F.lit(False)).alias("guards"),
         F.lit(None).cast(kinds["evidence"]).alias("evidence"),
     )
     return decided.unionByName(insufficient)

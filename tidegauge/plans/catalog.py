@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import stats
@@ -39,8 +39,9 @@ from tidegauge.operators.windows import (
 )
 from tidegauge.plans.monitor import backfill, decide_next, window_evidence
 from tidegauge.session import metadata_table, scratch_path
+from tidegauge.sources import io
 from tidegauge.sources.io import last_decision, read_window
-from tidegauge.types import GuardConfig, MonitorSpec, SlidingWindow
+from tidegauge.types import Contract, GuardConfig, MonitorSpec, SlidingWindow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -544,6 +545,18 @@ def homogeneity_audit(spark, d):
     return audit.select("feature", "n", "h_block", "h_random", "verdict")
 
 
+@query
+def audit_summary(spark, d):
+    audit = cal.homogeneity_audit(
+        drifting(spark, d), axis="day", key="event_id", features=["value", "k"], repetitions=REPETITIONS, min_values=400
+    )
+    out = cal.audit_summary(audit)
+    return out.select(
+        "n_features", "n_contaminated", r6("h_block_median", 2).alias("h_block_median"), r6("h_random_median", 2).alias("h_random_median"),
+        "n", r6("floor").alias("floor"), r6("slack", 4).alias("slack"),
+    )
+
+
 @query
 def operational_floor(spark, d):
     counts = current(spark, d).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
@@ -839,6 +852,70 @@ def time_axis(spark, d):
     )
 
 
+# --- files -----------------------------------------------------------------
+@query
+def metadata_round_trip(spark, d):
+    path = scratch_path(spark, "meta.parquet")
+    io.write_parquet(meta(spark, d), path, order=["t_min", "Id"])
+    back = io.read_meta(spark, path, columns=["week", "n_stations", "t_max"])
+    return back.groupBy(long("week")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_stations").alias("stations"), r6(F.max("t_max").cast("double")).alias("latest")
+    )
+
+
+@query
+def features_round_trip(spark, d):
+    path = scratch_path(spark, "features.parquet")
+    io.write_parquet(table(spark, d, "orders"), path, order=["o_orderkey"])
+    back = io.read_features(spark, path, columns=["o_orderstatus", "o_totalprice"], where="o_totalprice > 100000")
+    return back.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), r6(F.sum("o_totalprice"), 2).alias("price"))
+
+
+@query
+def wide_csv_round_trip(spark, d):
+    path = scratch_path(spark, "wide.csv")
+    io.write_results(part_dates(spark, d), path)
+    back = io.read_wide_csv(spark, path)
+    long_rows = back.unpivot(["Id"], list(DATES), "feature", "t")
+    return long_rows.groupBy("feature").agg(F.count("t").alias("n"), r6(F.sum(F.col("t").cast("double")), 2).alias("total"))
+
+
+@query
+def results_round_trip(spark, d):
+    counts = events(spark, d).groupBy(F.col("day").cast("bigint").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    out = []
+    for fmt in ("csv", "json"):
+        path = scratch_path(spark, f"results.{fmt}")
+        io.write_results(counts, path, fmt)
+        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+        back = reader.schema("day bigint, n bigint").format(fmt).load(path)
+        out.append(back.select(F.lit(fmt).alias("format"), "day", "n"))
+    return out[0].unionByName(out[1])
+
+
+@query
+def contract_round_trip(spark, d):
+    n = reference(spark, d).count()
+    floor = stats.floor_quantile(10, 2) * (1.0 / (n // 2) + 1.0 / (n - n // 2))
+    contract = Contract(
+        version="1", origin="events", num=NUMERIC.num, cat=(), floor=None, analytic_floor=floor, block_floor=None, homogeneity=None,
+        threshold=3 * floor, alpha=SPEC.alpha, min_obs=SPEC.min_obs,
+    )
+    path = scratch_path(spark, "contract")
+    io.save_contract(spark, contract, path)
+    back = io.load_contract(spark, path)
+    spec, guards = back.monitor_spec(), back.guard_config()
+    rows = [(f, round(guards.floor, 9), round(spec.threshold, 9), spec.bins, guards.k, guards.n) for f in spec.num]
+    return metadata_table(spark, rows, "feature string, floor double, threshold double, bins bigint, k bigint, n bigint")
+
+
+@query
+def undated_last(spark, d):
+    first = prepare.in_time_order(meta(spark, d)).limit(500)
+    place = F.row_number().over(Window.orderBy(F.col("t_min").asc_nulls_last(), "Id"))
+    return first.select(place.cast("bigint").alias("place"), "Id", r6(F.col("t_min").cast("double")).alias("t_min"))
+
+
 @query
 def artefact_checks(spark, d):
     m = meta(spark, d)

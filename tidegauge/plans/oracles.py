@@ -6,14 +6,14 @@ grids); none of it mirrors how the Spark jobs are built.
 
 from __future__ import annotations
 
-from tidegauge.functions.special import chi2_ppf
+import math
+
 from tidegauge.functions.stats import (
     HASH_KEY_STEP,
     HASH_MODULUS,
     HASH_REP_STEP,
     HASH_ROUND,
     KS_TERMS,
-    floor_quantile,
 )
 from tidegauge.operators.metrics import GRID_FIRST, GRID_LAST, GRID_SIZE
 from tidegauge.operators.policy import GUARD_LABELS
@@ -21,6 +21,25 @@ from tidegauge.plans.catalog import DATES, EVENTS, GUARDS, REPETITIONS, WIDE
 from tidegauge.types import ACTION_NAMES
 
 
+def chi2_quantile(p: float, dof: int) -> float:
+    """Chi-squared quantile from the closed form of the upper tail, which is a finite sum.
+
+    Stated apart from the engine's own function, so that an error there shows.
+    """
+
+    def tail(x: float) -> float:
+        h = x / 2
+        if dof % 2 == 0:
+            return math.exp(-h) * sum(h**i / math.factorial(i) for i in range(dof // 2))
+        return math.erfc(math.sqrt(h)) + math.exp(-h) * sum(h ** (i - 0.5) / math.gamma(i + 0.5) for i in range(1, (dof + 1) // 2))
+
+    low, high = 0.0, 1000.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if tail(middle) > 1 - p else (low, middle)
+    return low
+
+
 def dbl(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
 
@@ -107,7 +126,8 @@ def cdf_shared(ref: str, cur: str, by: str, name: str = "cdf") -> str:
 
 
 def ks_p(d: str, n: str, m: str) -> str:
-    lam = f"({d} * sqrt({n}::DOUBLE * {m} / ({n}::DOUBLE + {m})))"
+    root = f"sqrt({n}::DOUBLE * {m} / ({n}::DOUBLE + {m}))"
+    lam = f"({d} * ({root} + 0.12 + 0.11 / {root}))"
     return (
         f"CASE WHEN {lam} < 0.2 THEN 1.0 ELSE greatest(least(list_sum(list_transform(range(1, {KS_TERMS + 1}), "
         f"lambda j: (CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * j * j * {lam} * {lam}))), 1.0), 0.0) END"
@@ -216,9 +236,9 @@ def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-Q1 = floor_quantile(10, 1)
-Q2 = floor_quantile(10, 2)
-Q6 = floor_quantile(10, 6)
+Q1 = chi2_quantile(0.95, 9)
+Q2 = chi2_quantile(0.95 ** (1 / 2), 9)
+Q6 = chi2_quantile(0.95 ** (1 / 6), 9)
 ALPHA = 0.05 / 3
 ORACLES: dict[str, str] = {}
 
@@ -280,6 +300,15 @@ CAST(sum(vis_L2_S30) AS BIGINT) AS l2_s30 FROM meta GROUP BY 1"""
 ORACLES["time_bucket"] = with_(DATE_CTE, META) + "SELECT week, CAST(floor(week / 2) AS BIGINT) AS fortnight, count(*) AS n FROM meta GROUP BY ALL"
 ORACLES["time_axis"] = with_(DATE_CTE, META) + f"""SELECT Id, {r("t_min::DOUBLE", "t_min")}, {r("t_max::DOUBLE", "t_max")}, CAST(n_stations AS BIGINT) AS n_stations,
 {r("duration::DOUBLE", "duration")}, week, CAST(floor(week / 2) AS BIGINT) AS fortnight, CAST(Response AS BIGINT) AS Response FROM meta"""
+ORACLES["metadata_round_trip"] = with_(DATE_CTE, META) + f"""SELECT week, count(*) AS n, CAST(sum(n_stations) AS BIGINT) AS stations, {r("max(t_max)::DOUBLE", "latest")} FROM meta GROUP BY week"""
+ORACLES["features_round_trip"] = f"""SELECT o_orderstatus AS status, count(*) AS n, {r("sum(o_totalprice)", "price", 2)} FROM orders WHERE o_totalprice > 100000 GROUP BY 1"""
+ORACLES["wide_csv_round_trip"] = with_(DATE_CTE) + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, count({c}) AS n, {r(f"sum({c}::DOUBLE)", "total", 2)} FROM dates""" for c in DATES
+)
+ORACLES["results_round_trip"] = with_(EV) + """SELECT f AS format, CAST(day AS BIGINT) AS day, count(*) AS n FROM ev, (VALUES ('csv'), ('json')) t(f) GROUP BY ALL"""
+ORACLES["contract_round_trip"] = with_(EV, REF) + f"""SELECT f.feature, {r(f"{dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "floor", 9)},
+{r(f"3 * {dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "threshold", 9)}, 10 AS bins, 3 AS k, 5 AS n FROM ref, (VALUES ('value'), ('k')) f(feature) GROUP BY 1"""
+ORACLES["undated_last"] = with_(DATE_CTE, META) + f"""SELECT row_number() OVER (ORDER BY t_min NULLS LAST, Id) AS place, Id, {r("t_min::DOUBLE", "t_min")} FROM meta ORDER BY t_min NULLS LAST, Id LIMIT 500"""
 ORACLES["weekly_rates"] = with_(DATE_CTE, META) + f"""SELECT week, count(*) AS n, {r("avg(Response)", "rate")}, {r("avg(n_stations)", "mean_stations")} FROM meta GROUP BY week"""
 ORACLES["presence_spread"] = with_(DATE_CTE, META) + ",\nsh AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS station, week, avg({c}) AS s FROM meta WHERE week >= 0 GROUP BY week"
@@ -383,7 +412,7 @@ ORACLES["analytic_floor"] = with_(EV, windows("ev", "cw"), "c AS (SELECT \"windo
     f"SELECT {W}, n, {r(f'{dbl(Q1)} * (1.0 / n_ref + 1.0 / n)', 'floor')}, {r(f'{dbl(Q6)} * (1.0 / n_ref + 1.0 / n)', 'floor_6')} FROM c, r"
 )
 ORACLES["threshold_slack"] = with_(EV, "c AS (SELECT day, count(*) AS n FROM ev WHERE day > 15 GROUP BY 1)", "r AS (SELECT count(*) AS n_ref FROM ev WHERE day <= 15)",
-    "b AS (" + " UNION ALL ".join(f"SELECT {b} AS bins, {dbl(chi2_ppf(0.95, b - 1))} AS q" for b in (5, 10, 20, 50)) + ")") + (
+    "b AS (" + " UNION ALL ".join(f"SELECT {b} AS bins, {dbl(chi2_quantile(0.95, b - 1))} AS q" for b in (5, 10, 20, 50)) + ")") + (
     f"SELECT CAST(day AS BIGINT) AS day, n, CAST(bins AS BIGINT) AS bins, {r('q * (1.0 / n_ref + 1.0 / n)', 'floor')}, {r('q * 2 / 0.1', 'n_p95', 4)}, "
     f"{r('(bins - 1) * 2 / 0.1', 'n_mean', 4)}, {r('0.1 / (q * (1.0 / n_ref + 1.0 / n))', 'slack', 4)} FROM c, r, b"
 )
@@ -419,6 +448,8 @@ ORACLES["homogeneity_by_feature"] = with_(*HALVES) + f"SELECT feature, CAST(n AS
 ORACLES["homogeneity_audit"] = with_(*HALVES, reps("dr", "rp"), long_num("rp", "rl", "rep, side"), paired_psi("rl", "rep, feature", "rq"),
     f"""hr AS (SELECT feature, quantile_cont(psi, 0.95) / ({dbl(Q1)} * (1.0 / (max(n0 + n1) // 2) + 1.0 / (max(n0 + n1) - max(n0 + n1) // 2))) AS h FROM rq GROUP BY feature)""") + f"""
 SELECT feature, CAST(n AS BIGINT) AS n, round(hb.h, 2) AS h_block, round(hr.h, 2) AS h_random, {VERDICT.replace("h <", "hb.h <")} AS verdict FROM hb JOIN hr USING (feature)"""
+ORACLES["audit_summary"] = with_(f"audit AS ({ORACLES['homogeneity_audit']})") + f"""SELECT count(*) AS n_features, count(*) FILTER (h_block > 5) AS n_contaminated, {r("median(h_block)", "h_block_median", 2)},
+{r("median(h_random)", "h_random_median", 2)}, max(n) AS n, {r(f"{dbl(Q1)} * 2.0 / (max(n) // 2)", "floor")}, {r(f"0.1 / ({dbl(Q1)} * 2.0 / (max(n) // 2))", "slack", 4)} FROM audit"""
 ORACLES["operational_floor"] = with_(EV, "c AS (SELECT day, count(*) AS n FROM ev WHERE day > 15 GROUP BY 1)",
     "x AS (SELECT (SELECT count(*) FROM ev WHERE day <= 15) AS n_ref, CAST(floor(median(n)) AS BIGINT) AS n_window FROM c)",
     f"y AS (SELECT *, {dbl(Q2)} * (1.0 / n_ref + 1.0 / n_window) * 0.93 AS f FROM x)") + f"SELECT n_ref, n_window, {r('f', 'floor')}, {r('f * 3', 'threshold')} FROM y"
@@ -526,7 +557,7 @@ st AS (SELECT *, n_alarmed >= {GUARDS.k} AS persistent, coalesce(effect_max > {d
 {fold("(SELECT * FROM st WHERE stage = 'candidate')", "fd", axis, extra)},
 de AS (SELECT c.*, fd.retrains, fd.previous, CASE WHEN stage = 'blocked' THEN 20 WHEN fd.retrains THEN 10 ELSE 0 END AS code,
   CASE WHEN stage <> 'candidate' THEN stage WHEN fd.retrains THEN 'authorised' ELSE 'cooldown' END AS reason FROM st c LEFT JOIN fd ON {on}),
-al AS (SELECT seg, {axis} AS axis, code, cause, reason FROM de UNION ALL SELECT seg, {axis}, 30, 'undefined', 'too few rows; this does not mean no drift' FROM {src} WHERE n_rows < 200)"""
+al AS (SELECT seg, {axis} AS axis, code, cause, reason FROM de UNION ALL SELECT seg, {axis}, 30, 'undefined', 'window too small to be judged' FROM {src} WHERE n_rows < 200)"""
 
 
 ACTION = "CASE code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in ACTION_NAMES.items()) + " END AS action"
@@ -546,10 +577,10 @@ ORACLES["decision_after_reset"] = REC + ",\n".join([EV, EVID, RESET, cascade("er
 LATE = "stage IN ('cause unconfirmed', 'shadow failed', 'candidate')"
 LABEL = "CASE g " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in GUARD_LABELS.items()) + " END"
 ORACLES["guard_results"] = DECIDED + f"""SELECT seg, day, {LABEL} AS guard, CASE WHEN ok THEN 'pass' ELSE 'BLOCK' END AS result FROM (
-SELECT seg, day, '1_persistence' AS g, persistent AS ok FROM de UNION ALL SELECT seg, day, '3_magnitude', above_floor FROM de
-UNION ALL SELECT seg, day, '2_context', cause <> 'business' FROM de UNION ALL SELECT seg, day, '5_cause_is_ml', cause NOT IN ('hardware', 'pipeline') FROM de
-UNION ALL SELECT seg, day, '1b_cause_confirmed', confirmed FROM de WHERE {LATE}
-UNION ALL SELECT seg, day, '4_shadow', stage = 'candidate' FROM de WHERE stage IN ('shadow failed', 'candidate')) x"""
+SELECT seg, day, 'lasting' AS g, persistent AS ok FROM de UNION ALL SELECT seg, day, 'above_noise', above_floor FROM de
+UNION ALL SELECT seg, day, 'outside_context', cause <> 'business' FROM de UNION ALL SELECT seg, day, 'trainable_cause', cause NOT IN ('hardware', 'pipeline') FROM de
+UNION ALL SELECT seg, day, 'cause_repeated', confirmed FROM de WHERE {LATE}
+UNION ALL SELECT seg, day, 'challenger_gains', stage = 'candidate' FROM de WHERE stage IN ('shadow failed', 'candidate')) x"""
 DAYS = "days AS (" + " UNION ALL ".join(
     f"SELECT '{e['name']}' AS name, {str(e['must_alarm']).lower()} AS must_alarm, {e['exit_code']} AS right_code, d AS d FROM range({e['start']}, {e['end'] + 1}) t(d)" for e in EVENTS
 ) + ")"

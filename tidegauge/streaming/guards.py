@@ -64,7 +64,7 @@ class GuardProcessor(StatefulProcessor):
             alarms, causes = list(a), list(c)
         out = []
         for r in batch.itertuples():
-            code, cause, reason = INSUFFICIENT, CAUSE_UNDEFINED, "too few rows; this does not mean no drift"
+            code, cause, reason = INSUFFICIENT, CAUSE_UNDEFINED, "window too small to be judged"
             if r.n_rows >= self.config.min_obs:
                 alarms = [*alarms, bool(r.n_drift > 0)][-self.config.n :]
                 causes = [*causes, r.cause][-self.config.cause_confirmations :]

@@ -121,7 +121,7 @@ class Contract:
             raise ValueError("incomplete contract, no noise floor measured or computed")
         if self.threshold <= base:
             raise ValueError(
-                f"threshold {self.threshold} is inside the noise floor {base}: it would alarm forever"
+                f"threshold {self.threshold} does not exceed the noise floor {base}"
             )
         if self.suite_total and self.suite_pass < self.suite_total:
             raise ValueError(f"validation suite has failures ({self.suite_pass}/{self.suite_total})")
