@@ -144,3 +144,38 @@ def test_axis_may_be_a_timestamp(spark, pdf):
     a = cal.block_split_effects(df, SPEC, "ts", "id", blocks=3).orderBy("pair", "feature").collect()
     b = cal.block_split_effects(df, SPEC, "day", "id", blocks=3).orderBy("pair", "feature").collect()
     assert a == b
+
+
+def ordered_last(frame):
+    """Rows by axis and tie, those without axis behind the others."""
+    return frame.sort_values(["t", "id"], na_position="last", kind="stable")
+
+
+def test_rows_without_axis_come_last(spark):
+    rng = np.random.default_rng(5)
+    n = 4000
+    frame = pd.DataFrame(dict(id=np.arange(n), x=rng.normal(size=n) + np.arange(n) / n, t=rng.integers(0, 50, n).astype(float)))
+    frame.loc[rng.random(n) < 0.25, "t"] = np.nan
+    df = spark.createDataFrame(frame).withColumn("t", F.when(~F.isnan("t"), F.col("t")))
+    spec = MonitorSpec(num=("x",))
+    got = cal.block_split_effects(df, spec, "t", "id", blocks=4).orderBy("pair").collect()
+    parts = [p["x"].to_numpy() for p in np.array_split(ordered_last(frame), 4)]
+    assert [(r.n0, r.n1) for r in got] == [(1000, 1000)] * 3
+    for r, a, b in zip(got, parts, parts[1:]):
+        assert r.effect == pytest.approx(np_psi(a, b), rel=1e-9)
+    h = cal.homogeneity_by_feature(df, ["x"], key="id", axis="t").first()
+    both = ordered_last(frame)["x"].to_numpy()
+    assert h.n == n and h.h == pytest.approx(round(np_psi(both[:2000], both[2000:]) / (chi2_ppf(0.95, 9) * 2 / 2000), 2), abs=0.011)
+
+
+def test_no_column_qualifies(table):
+    out = cal.homogeneity_by_feature(table.limit(50), list(SPEC.num), key="id", axis="day")
+    assert out.columns == ["feature", "n", "h", "verdict"] and out.count() == 0
+    assert cal.homogeneity_audit(table.limit(50), axis="day", key="id", features=list(SPEC.num), repetitions=2).count() == 0
+
+
+def test_audit_measures_every_column(spark):
+    names = [f"c{i}" for i in range(64)]
+    df = spark.range(600).select("id", (F.col("id") % 30).alias("t"), *[(F.col("id") * (7 + i) % 101).cast("double").alias(n) for i, n in enumerate(names)])
+    out = cal.homogeneity_audit(df, axis="t", key="id", features=names, repetitions=2)
+    assert {r.feature for r in out.select("feature").collect()} == set(names)

@@ -57,6 +57,22 @@ def test_duplicate_keys_are_refused(spark, dates, labels):
     assert join_one_to_one(dates, labels.where("Id < 3"), ["Id"], "left").where("Response is null").count() == 9
 
 
+def test_duplicate_keys_are_refused_whatever_is_read(spark, dates, labels):
+    twice = labels.unionByName(labels.limit(1))
+    doubled = dates.unionByName(dates.limit(1))
+    bare = labels.select("Id").unionByName(labels.select("Id").limit(1))
+    for left, right in ((dates, twice), (doubled, labels), (dates, bare), (doubled.select("Id"), labels.select("Id"))):
+        for how in ("left", "inner"):
+            joined = join_one_to_one(left, right, ["Id"], how)
+            for read in (joined.count, joined.select("Id").collect, joined.agg(F.max("Id")).collect):
+                with pytest.raises(Exception, match="duplicate key"):
+                    read()
+    with pytest.raises(Exception, match="duplicate key"):
+        prepare.time_axis(dates, twice).groupBy("week").count().collect()
+    plan = join_one_to_one(dates, labels, ["Id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
 def test_topology_and_selection(spark):
     df = spark.range(500).select(
         F.when(F.col("id") % 2 == 0, F.col("id").cast("double")).alias("L0_S0_F1"),

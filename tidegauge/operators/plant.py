@@ -79,11 +79,8 @@ def detection_score(decisions: DataFrame, axis: str, events: DataFrame) -> DataF
 
     ``events``: ``name, start, end, must_alarm, exit_code`` (the right action).
     """
-    days = events.select(
-        "name", "must_alarm", F.col("exit_code").alias("right_code"),
-        F.explode(F.sequence(F.col("start").cast("bigint"), F.col("end").cast("bigint"))).alias("__day"),
-    )
-    joined = decisions.join(F.broadcast(days), F.col(axis).cast("bigint") == F.col("__day"))
+    catalogue = events.select("name", "must_alarm", F.col("exit_code").alias("right_code"), F.col("start").alias("__s"), F.col("end").alias("__e"))
+    joined = decisions.join(catalogue, F.col(axis).between(F.col("__s"), F.col("__e")))
     alarmed = F.coalesce(F.col("evidence.n_drift") > 0, F.lit(False))
     return joined.groupBy("name").agg(
         F.count(F.lit(1)).alias("windows"),

@@ -53,15 +53,16 @@ def interval_label(
 ) -> DataFrame:
     """First interval (by ``order``) with ``start <= axis <= end``; NULL outside all.
 
-    The catalogue is a handful of rows. Its lookup is done once per distinct axis
-    value by an equi-join on the expanded interval units.
+    The catalogue is compared with the distinct axis values, not with the rows, and its
+    intervals are never expanded, so the axis may be as fine as it likes.
     """
-    units = (
-        intervals.select(F.explode(F.sequence(F.col(start).cast("bigint"), F.col(end).cast("bigint"))).alias("__u"), label, order)
+    found = (
+        df.select(F.col(axis).alias("__u")).where("__u is not null").distinct()
+        .join(intervals.select(F.col(start).alias("__s"), F.col(end).alias("__e"), label, order), F.expr("__u between __s and __e"))
         .groupBy("__u")
         .agg(F.min_by(label, order).alias(label))
     )
-    return df.join(units, F.col(axis).cast("bigint") == F.col("__u"), "left").drop("__u")
+    return df.join(found, F.col(axis) == F.col("__u"), "left").drop("__u")
 
 
 def context_expression(axis: str, contexts: Mapping[str, tuple[int, int]]) -> Column:
