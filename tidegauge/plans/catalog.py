@@ -37,7 +37,7 @@ from tidegauge.operators.windows import (
     kept_periods,
     presence_drift,
 )
-from tidegauge.plans.monitor import backfill, decide_next, window_evidence
+from tidegauge.plans.monitor import backfill, decide_next, decide_window, window_evidence
 from tidegauge.session import metadata_table, scratch_path
 from tidegauge.sources import io
 from tidegauge.sources.io import last_decision, read_window
@@ -436,6 +436,15 @@ def drift_report_segments(spark, d):
     return rounded_report(rep, "seg", "window")
 
 
+@query
+def drift_report_wasserstein(spark, d):
+    spec = NUMERIC.but(metric="wasserstein", threshold=1.0)
+    out = drift_report(planted(spark, d), profile_of(spark, d, spec), window=WINDOW)
+    return out.select(
+        "window", "feature", r6("stat", 5).alias("stat"), r6("p_value").alias("p_value"), r6("effect", 5).alias("effect"), "measurable", "n_cur", "drift"
+    )
+
+
 @query
 def drift_summary(spark, d):
     s = summarise(drift_report(planted(spark, d), profile_of(spark, d), window=WINDOW), ["window"])
@@ -806,6 +815,24 @@ def monitor_backfill(spark, d):
     return out.select("seg", "window", "action", long("exit_code"), "cause", "reason")
 
 
+@query
+def decide_one_window(spark, d):
+    contract = Contract(
+        version="1", origin="events", num=SPEC.num, cat=SPEC.cat, floor=GUARDS.floor, analytic_floor=None, block_floor=None, homogeneity=None,
+        threshold=SPEC.threshold, alpha=SPEC.alpha, min_obs=SPEC.min_obs, bins=SPEC.bins, k=GUARDS.k, n=GUARDS.n, cooldown=GUARDS.cooldown,
+        contexts=GUARDS.contexts, ranges=RANGES,
+    )
+    contract_path, history_path = scratch_path(spark, "contract"), scratch_path(spark, "history")
+    io.save_contract(spark, contract, contract_path)
+    rows, profile = planted(spark, d), profile_of(spark, d)
+    names = dict(segment="seg", label="y", score="p")
+    before = backfill(rows, profile, SlidingWindow("day", first=18, last=29, width=3, step=1), GUARDS, **names)
+    io.append_decisions(before, history_path, ["seg"])
+    decide_window(rows, profile, contract_path, history_path, axis="day", at=30, **names)
+    out = io.read_history(spark, history_path)
+    return out.select(long("seg"), "window", "action", long("exit_code"), "cause", "reason")
+
+
 @query
 def evidence_by_window(spark, d):
     out = window_evidence(planted(spark, d), profile_of(spark, d), WINDOW, segment="seg", label="y", score="p")

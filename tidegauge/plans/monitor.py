@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tidegauge.operators.ranges import range_violations, worst_violation
 from tidegauge.operators.report import drift_report, summarise
 from tidegauge.operators.windows import narrow_axis
 from tidegauge.session import materialise
+from tidegauge.sources.io import append_decisions, load_contract, read_history
 from tidegauge.types import RETRAIN, GuardConfig, SlidingWindow
 
 MIN_SEGMENT_ROWS = 50
@@ -98,3 +100,44 @@ def decide_next(
     last = memory.where("__retrained").groupBy(*keys).agg(F.max(axis).cast("bigint").alias("__last"))
     fresh = with_all_evidence(evidence).join(history.select(*keys, axis), [*keys, axis], "left_anti")
     return seeded_decide(fresh, memory, last, keys, axis, config)
+
+
+def decide_window(
+    current: DataFrame,
+    profile: ReferenceProfile,
+    contract_path: str,
+    history_path: str,
+    *,
+    axis: str,
+    at: int,
+    width: int = 3,
+    segment: str | None = None,
+    label: str | None = None,
+    score: str | None = None,
+) -> DataFrame:
+    """One window, from the contract to the recorded decision.
+
+    Loads the contract, measures the window that ends at ``at``, restores the memory
+    from the history (if there is one), decides, and appends the new decisions. Their
+    ``exit_code`` is what a scheduler acts on. Running the job again appends nothing:
+    windows that the history holds are not decided twice.
+    """
+    spark = current.sparkSession
+    contract = load_contract(spark, contract_path)
+    if contract.monitor_spec() != profile.spec:
+        raise ValueError("the profile was built for another contract")
+    keys = [segment] if segment and label and score else ["monitor"]
+    window = SlidingWindow(axis, first=at, last=at, width=width)
+    evidence = window_evidence(current, profile, window, segment=segment, label=label, score=score)
+    if keys == ["monitor"]:
+        evidence = evidence.withColumn("monitor", F.lit("all"))
+    evidence = materialise(evidence)
+    try:
+        history = read_history(spark, history_path)
+    except AnalysisException:
+        history = None
+    if history is not None:  # keys come back from folder names
+        history = history.withColumns({k: F.col(k).cast(evidence.schema[k].dataType) for k in keys})
+    decided = materialise(decide_next(evidence, history, keys, "window", contract.guard_config()))
+    append_decisions(decided, history_path, keys)
+    return decided

@@ -402,6 +402,13 @@ def report(by: str) -> tuple[str, ...]:
 REPORT_COLUMNS = f"feature, kind, {r('stat', 'stat', 5)}, {r('p_value', 'p_value')}, {r('effect', 'effect')}, measurable, n_ref, n_cur, drift"
 ORACLES["drift_report_windows"] = with_(*report(W)) + f"SELECT {W}, {REPORT_COLUMNS} FROM rep"
 ORACLES["drift_report_segments"] = with_(*report(SW)) + f"SELECT {SW}, {REPORT_COLUMNS} FROM rep"
+GATE = "n_cur >= 200 AND m >= 20"
+ORACLES["drift_report_wasserstein"] = with_(EV, REF, PLANTED, LR, windows("pl", "cw"), long_num("cw", "lw", W), cdf_shared("lr", "lw", W),
+    f"nc AS (SELECT {W}, count(*) AS n_cur FROM cw GROUP BY ALL)",
+    f"d AS (SELECT {W}, feature, max(abs(fa - fb)) AS d, sum(abs(fa - fb) * (nxt - v)) AS w, max(n) AS n, max(m) AS m FROM cdf GROUP BY ALL)",
+    f"x AS (SELECT *, {ks_p('d', 'n', 'm')} AS p FROM d JOIN nc USING ({W}))") + f"""
+SELECT {W}, feature, {r(f"CASE WHEN {GATE} THEN d END", "stat", 5)}, {r(f"CASE WHEN {GATE} THEN p END", "p_value")}, {r(f"CASE WHEN {GATE} THEN w END", "effect", 5)},
+{GATE} AS measurable, n_cur, {GATE} AND p < 0.025 AND w > 1.0 AS drift FROM x"""
 SUMMARY = f"""summ AS (SELECT {W}, max(n_cur) AS n_cur, count(*) FILTER (drift) AS n_drift, count(*) FILTER (NOT measurable) AS n_not_measurable,
   max(effect) FILTER (measurable) AS effect_max, coalesce(string_agg(feature, ',' ORDER BY effect DESC, feature) FILTER (drift), '') AS features FROM rep GROUP BY ALL)"""
 ORACLES["drift_summary"] = with_(*report(W), SUMMARY) + f"SELECT {W}, n_cur, n_drift, n_not_measurable, {r('effect_max', 'effect_max')}, features FROM summ"
@@ -605,6 +612,8 @@ ORACLES["monitor_backfill"] = REC + ",\n".join([*WINDOW_EVID, f"wx AS (SELECT *
     f"\nSELECT seg, axis AS {W}, {ACTION}, CAST(code AS BIGINT) AS exit_code, cause, reason FROM al"
 )
 
+ORACLES["decide_one_window"] = ORACLES["monitor_backfill"]
+
 # --- preparation, planting, streaming ------------------------------------------
 ORACLES["topk_per_group"] = """SELECT lang, doc_id, CAST(n_chars AS BIGINT) AS n_chars FROM documents
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) <= 6"""
