@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clean import finite, long_numeric, number, quoted
+from tidegauge.functions.clean import finite, number, quoted
 from tidegauge.operators.joins import join_one_to_one
 
 # fixed values: column-name pattern and time unit (hundredths of a week)
@@ -19,6 +19,7 @@ MIN_VARIANCE = 1e-12
 MIN_VALID_FOR_VARIANCE = 100
 PER_STATION = 6
 TARGET_FEATURES = 160
+COLUMNS_AT_ONCE = 128  # columns of one profile aggregate
 
 
 def topology(features: DataFrame, name: str = "feature") -> DataFrame:
@@ -102,17 +103,27 @@ def in_time_order(meta: DataFrame, key: str = "Id") -> DataFrame:
 
 
 def feature_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature, n_valid, coverage, variance`` in one pass over the table."""
-    # each present column yields one row; the total rides along as its own entry
-    long = long_numeric(df, features)
-    total = df.agg(F.count(F.lit(1)).alias("n_total"))
-    stats = long.groupBy("feature").agg(F.count("value").alias("n_valid"), F.var_pop("value").alias("v"))
-    names = total.select("n_total", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
-    return names.join(stats, "feature", "left").select(
+    """``feature, n_valid, coverage, variance``: counts and variances as plain aggregates.
+
+    Columns are aggregated in chunks, each of which reads its own columns only, so a
+    columnar table is read once whatever its width.
+    """
+
+    def chunk(names: Sequence[str]) -> DataFrame:
+        figures = F.array(
+            *[F.struct(F.lit(f).alias("feature"), F.count(finite(quoted(f))).alias("n"), F.var_pop(finite(quoted(f))).alias("v")) for f in names]
+        )
+        return df.agg(F.count(F.lit(1)).alias("n_total"), figures.alias("p")).select("n_total", F.inline("p"))
+
+    names = list(features)
+    out = chunk(names[:COLUMNS_AT_ONCE])
+    for at in range(COLUMNS_AT_ONCE, len(names), COLUMNS_AT_ONCE):
+        out = out.unionAll(chunk(names[at : at + COLUMNS_AT_ONCE]))
+    return out.select(
         "feature",
-        F.coalesce("n_valid", F.lit(0)).cast("bigint").alias("n_valid"),
-        F.when(F.col("n_total") > 0, F.coalesce("n_valid", F.lit(0)) / F.col("n_total")).otherwise(0.0).alias("coverage"),
-        F.when(F.col("n_valid") > MIN_VALID_FOR_VARIANCE, F.col("v")).otherwise(0.0).alias("variance"),
+        F.col("n").alias("n_valid"),
+        F.when(F.col("n_total") > 0, F.col("n") / F.col("n_total")).otherwise(0.0).alias("coverage"),
+        F.when(F.col("n") > MIN_VALID_FOR_VARIANCE, F.col("v")).otherwise(0.0).alias("variance"),
     )
 
 

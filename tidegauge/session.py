@@ -44,8 +44,8 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def small_rows(df: DataFrame, limit: int = MAX_DRIVER_ROWS) -> list:
-    """Read a result that has one row per column, bin or block; fail beyond the bound."""
-    rows = df.collect()
+    """Read a result that has one row per column, bin or block; never more than the bound, fail beyond it."""
+    rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"expected at most {limit} metadata rows")
     return rows
