@@ -40,6 +40,39 @@ def test_quotes_link_to_their_messages(spark):
     assert got[(1, 2)].thread == "0" * 10 + "0000000002" and got[(1, 3)].thread == got[(1, 2)].thread
 
 
+def test_sql_gives_the_same(spark, tmp_path):
+    import random
+
+    import duckdb
+
+    from tidegauge.llm.oracles import QUOTES
+
+    rng = random.Random(4)
+    said, rows = ["Alpha beta", "gamma", "alpha  BETA\n\ngamma delta", "x\ny", "", None], []
+    for c in range(12):
+        before: list[str] = []
+        for t in range(rng.randint(1, 25)):
+            own = rng.choice(said)
+            parts = [] if own is None else [own]
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                if before:
+                    marks = rng.choice(["> ", ">", ">> ", "> > "])
+                    parts.insert(rng.randint(0, len(parts)), "\n".join(marks + x for x in rng.choice(before).split("\n")))
+            text = None if own is None else "\n".join(parts)
+            rows.append((c, t * rng.choice([1, 1, 2]) + 100 * t, "u", text))
+            before.append(text or "")
+    rows += [(None, 1, "u", "> Alpha beta"), (3, None, "u", "lost")]
+    path = str(tmp_path / "conversations.parquet")
+    talk(spark, rows).coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{path}/*.parquet'")
+    names = ["conv_id", "turn", "role", "body", "n_quotes", "n_linked", "reply_to", "thread"]
+    wanted = con.execute(f"select {', '.join(names)} from ({QUOTES})").fetchall()
+    got = quotes.conversations(spark.read.parquet(path)).select(*names).collect()
+    assert sorted(map(str, wanted)) == sorted(str(tuple(r)) for r in got)
+    assert len({r.thread for r in got}) > 12 and sum(r.n_linked for r in got) > 30
+
+
 def test_latest_of_equal_messages_and_long_conversations(spark):
     rows = [(7, t, "a", "the common line" if t % 2 == 0 else f"> the common line\nreply {t}") for t in range(400)]
     got = {r.turn: r for r in quotes.conversations(talk(spark, rows)).collect()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import crossparse, factorisation, mixing, packing, prefix_hash, quotes, rules, shard_tree, simhash, warc
 from tidegauge.llm.common import table, vocabulary
+from tidegauge.llm.oracles import LLM_ORACLES as LLM_ORACLES
 from tidegauge.session import scratch_path
 
 
@@ -21,7 +22,8 @@ def op2_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    records = warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return records.drop("record_id", "archive")
 
 
 def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +68,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shard_tree": op9_shard_tree,
     "op10_cross_parsing": op10_cross_parsing,
 }
-
-LLM_ORACLES: dict[str, str] = {}
