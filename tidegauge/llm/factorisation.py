@@ -129,7 +129,7 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], prior: float, seed:
     size = BUCKETS + N_STATISTICS * STEPS_PER_STATISTIC
     labels = np.array([y for *_, y in examples], float)
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return Model(float(np.log((share + 0.01) / (1.01 - share))), np.zeros(size), np.zeros((size, RANK)))
     rng = np.random.default_rng(seed)
     bias, weights, factors = 0.0, np.zeros(size), rng.normal(0, 0.02, (size, RANK))
@@ -197,7 +197,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
             words = [w[:: max(1, -(-len(w) // TRAINING_WORDS))] for w, _ in found]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "words": words, "stats": [s for _, s in found], "quality": rows["quality"]})
 
-    columns = documents.select(F.col("doc_id"), "text").join(sample, "doc_id")
+    # about TRAINING_ROWS ids, whatever the corpus: texts stay where they are
+    columns = documents.select(F.col("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     rows = columns.mapInPandas(numbers, "doc_id long, words array<long>, stats array<long>, quality int").collect()  # about TRAINING_ROWS rows
     rows.sort(key=lambda r: (r["doc_id"], r["words"]))
     prior = sizes.get(1, 0) / max(sum(sizes.values()), 1)
