@@ -37,12 +37,14 @@ def join_one_to_one(
     if how not in ("left", "inner"):
         raise ValueError("one-to-one joins are 'left' or 'inner'")
 
-    def checked(df: DataFrame, side: str) -> DataFrame:
+    def checked(df: DataFrame, side: str, mark: str) -> DataFrame:
         n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         refused = F.raise_error(F.lit(f"duplicate key on the {side} side")).cast("boolean")
-        return df.withColumn("__n", n).where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(refused)).drop("__n")
+        return df.withColumn("__n", n).withColumn(mark, F.when(F.col("__n") == 1, F.lit(True)).otherwise(refused)).where(mark).drop("__n")
 
-    return checked(left, "left").join(checked(right, "right"), list(keys), how)
+    joined = checked(left, "left", "__left").join(checked(right, "right", "__right"), list(keys), how)
+    # asks for the right side even where nothing of it is read and its rows could not matter
+    return joined.where(F.coalesce("__right", F.lit(True))).drop("__left", "__right")
 
 
 def key_set_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
