@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # on tables this small most time would go into compiling whole stages
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
