@@ -31,6 +31,7 @@ REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
 SYMBOLS = 64  # letters told apart, and the space
 STRETCH = 1024
+TOGETHER = 1 << 21  # letters that are parsed in step, which bounds a task's memory
 UNKNOWN = "und"
 POINTS = 0x110000
 
@@ -81,16 +82,17 @@ class Automaton:
     def table(self) -> np.ndarray:
         """2 * next state for each (state, symbol), plus 1 where a phrase ends before the symbol.
 
-        A symbol that the reference lacks is a phrase by itself and leads to the start.
+        A symbol that the reference lacks is a phrase by itself.
         """
-        start = np.full(SYMBOLS, 1, np.int32)
+        alone = len(self.next)  # where a symbol leads that the reference lacks
+        fresh = np.full(SYMBOLS, 2 * alone, np.int32)
         for c, to in self.next[0].items():
-            start[c] = 2 * to + 1
-        out = np.tile(start, (len(self.next), 1))
+            fresh[c] = 2 * to
+        out = np.tile(fresh + 1, (alone + 1, 1))
+        out[0] = fresh  # a walk begins here, where nothing ends
         for state, steps in enumerate(self.next):
             for c, to in steps.items():
                 out[state, c] = 2 * to
-        # a walk begins at the start, where nothing ends
         return out
 
 
@@ -107,7 +109,7 @@ class References:
         sizes = np.array([len(t) if t else 0 for t in texts], np.int64)
         points = code_points("".join(t for t in texts if t))
         symbols = self.symbol[points]
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         fresh = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
         kept = (symbols != 0) | np.r_[True, symbols[:-1] != 0] | fresh if len(owner) else fresh
         symbols, owner = symbols[kept], owner[kept]
@@ -136,7 +138,18 @@ class References:
         return cost * self.bits, letters
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Language and score of each text: how much less the winner costs than the next."""
+        """Language and score of each text, parsed in groups of about ``TOGETHER`` letters."""
+        out, group, held = [], [], 0
+        for text in texts:
+            group.append(text)
+            held += len(text) if text else 0
+            if held >= TOGETHER:
+                out += self._predict(group)
+                group, held = [], 0
+        return out + self._predict(group) if group else out
+
+    def _predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The score is how much less the winner costs than the next."""
         cost, letters = self.parse(texts)
         out = []
         for row, any_letter in zip(cost, letters):
