@@ -205,7 +205,10 @@ def classes(edges: DataFrame) -> DataFrame:
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")).select("node", "root"))
     while True:
         heard = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("heard"))
-        lower = labels.join(heard, labels["node"] == heard["a"]).select("node", F.col("root").alias("old"), F.least("root", "heard").alias("root"))
+        # kept, so that the side of a large class's root is a shuffle of its own, which Spark can split
+        lower = materialise(
+            labels.join(heard, labels["node"] == heard["a"]).select("node", F.col("root").alias("old"), F.least("root", "heard").alias("root"))
+        )
         up = lower.select(F.col("node").alias("at"), F.col("root").alias("up"))
         stepped = materialise(
             lower.join(up, lower["root"] == up["at"], "left").select("node", "old", F.coalesce("up", "root").alias("root"))
@@ -227,7 +230,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     codes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     nodes = classes(links(codes))
     rooted = nodes.join(codes, nodes["node"] == codes["fp"]).select("fp", "root", "first")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     of_fp = codes.join(rooted.join(least, "root").select("fp", "component_id"), "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id")
     )
