@@ -176,7 +176,8 @@ def mix(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP
     turn = Window.partitionBy("sid", "size", "part").orderBy(F.xxhash64("key"), "key")
     extra = F.col("copies") % F.col("count")
     at = F.row_number().over(turn).cast("long")
-    rows = rows.withColumn("at", at).withColumn("first", first)
+    # dealt by part: else the join's partitioning would do for the window, with a common size in one task
+    rows = rows.repartition("sid", "size", "part").withColumn("at", at).withColumn("first", first)
     passed = F.floor((F.col("at") * extra + F.col("first")) / F.col("count")) - F.floor(((F.col("at") - 1) * extra + F.col("first")) / F.col("count"))
     rows = rows.withColumn("copies", (F.floor(F.col("copies") / F.col("count")) + passed).cast("long"))
     return rows.join(sources.select("sid", "group_size", "target"), "sid").select(
