@@ -586,7 +586,7 @@ def segment_calibrations(rows: DataFrame) -> DataFrame:
 @query
 def regime_comparison(spark, d):
     ev = events(spark, d)
-    out = cal.compare_regimes(segment_calibrations(ev.where("event_type = 'error'")), segment_calibrations(ev), ["seg"])
+    out = cal.compare_regimes(segment_calibrations(ev.where("event_type in ('error', 'signup')")), segment_calibrations(ev), ["seg"])
     return out.select("seg", "threshold_in_floors", "floor_ratio", r6("calibrated_for_n", 3).alias("calibrated_for_n"), "regime", "contaminated")
 
 

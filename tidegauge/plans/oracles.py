@@ -307,7 +307,7 @@ ORACLES["wide_csv_round_trip"] = with_(DATE_CTE) + " UNION ALL ".join(
 )
 ORACLES["results_round_trip"] = with_(EV) + """SELECT f AS format, CAST(day AS BIGINT) AS day, count(*) AS n FROM ev, (VALUES ('csv'), ('json')) t(f) GROUP BY ALL"""
 ORACLES["contract_round_trip"] = with_(EV, REF) + f"""SELECT f.feature, {r(f"{dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "floor", 9)},
-{r(f"3 * {dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "threshold", 9)}, 10 AS bins, 3 AS k, 5 AS n FROM ref, (VALUES ('value'), ('k')) f(feature) GROUP BY 1"""
+{r(f"3 * {dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "threshold", 9)}, CAST(10 AS BIGINT) AS bins, CAST(3 AS BIGINT) AS k, CAST(5 AS BIGINT) AS n FROM ref, (VALUES ('value'), ('k')) f(feature) GROUP BY 1"""
 ORACLES["undated_last"] = with_(DATE_CTE, META) + f"""SELECT row_number() OVER (ORDER BY t_min NULLS LAST, Id) AS place, Id, {r("t_min::DOUBLE", "t_min")} FROM meta ORDER BY t_min NULLS LAST, Id LIMIT 500"""
 ORACLES["weekly_rates"] = with_(DATE_CTE, META) + f"""SELECT week, count(*) AS n, {r("avg(Response)", "rate")}, {r("avg(n_stations)", "mean_stations")} FROM meta GROUP BY week"""
 ORACLES["presence_spread"] = with_(DATE_CTE, META) + ",\nsh AS (" + " UNION ALL ".join(
@@ -467,7 +467,7 @@ def seg_cal(kept: str, name: str) -> str:
 {name} AS (SELECT seg, n, {dbl(Q2)} * (1.0 / (n // 2) + 1.0 / (n - n // 2)) AS f, seg = 3 AS bad FROM {name}_n)"""
 
 
-ORACLES["regime_comparison"] = with_(EV, seg_cal("event_type = 'error'", "a"), seg_cal("true", "b"), "x AS (SELECT a.seg, 3 * a.f AS t, a.f AS fa, b.f AS fb, 3 * a.f / b.f AS s, a.bad OR b.bad AS contaminated FROM a JOIN b USING (seg))") + f"""
+ORACLES["regime_comparison"] = with_(EV, seg_cal("event_type IN ('error', 'signup')", "a"), seg_cal("true", "b"), "x AS (SELECT a.seg, 3 * a.f AS t, a.f AS fa, b.f AS fb, 3 * a.f / b.f AS s, a.bad OR b.bad AS contaminated FROM a JOIN b USING (seg))") + f"""
 SELECT seg, round(s, 1) AS threshold_in_floors, round(fb / fa, 3) AS floor_ratio, {r(f"{dbl(Q1)} * 2 / t", "calibrated_for_n", 3)},
 CASE WHEN s > 10 THEN 'blind' WHEN s > 3 THEN 'conservative' WHEN s > 1 THEN 'transfers' ELSE 'perpetual alarm' END AS regime, contaminated FROM x"""
 ORACLES["contract_violations"] = f"""WITH n AS (SELECT event_type, count(*) AS n, count(*) FILTER (value < 100) AS ok FROM events GROUP BY event_type),
