@@ -104,3 +104,15 @@ def test_one_document_of_each_class_stays(edge, none):
     assert len(ids) == len(classes) and set(ids) == classes
     assert kept.where("nth <> 'own nth'").count() == 0
     assert simhash.representatives(none).count() == 0
+
+
+def test_texts_without_an_id_or_with_a_common_one_stay(spark, edge):
+    rows = [(5, prose(1, 80)), (5, prose(2, 40)), (7, prose(1, 80)), (None, prose(3, 50)), (None, prose(4, 60)), (None, prose(4, 60))]
+    rows += [(9, "A b c d"), (9, "a b c d"), (8, ""), (11, None), (11, "x y z")]
+    got = simhash.representatives(documents(spark, [(*r, None, None, None) for r in rows])).collect()
+    wanted = [rows[0], rows[1], rows[3], rows[4], (9, "A b c d"), (8, ""), (11, "x y z")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == sorted(map(str, wanted))
+    texts = [r.text for r in edge.collect()]
+    kept = [r.text for r in simhash.representatives(edge).collect()]
+    label = dict(zip(texts, slow_classes([slow_fingerprint(t) for t in texts])))
+    assert sorted(label[t] for t in kept) == sorted(set(label.values())) and "the same id as another text" in kept

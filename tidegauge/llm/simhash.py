@@ -239,10 +239,29 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def representatives(documents: DataFrame) -> DataFrame:
-    """The documents without near-duplicates: of each class the one with the smallest id, all columns kept."""
-    kept = near_duplicates(documents).select("component_id").distinct()
-    ids = F.col("a.doc_id").eqNullSafe(F.col("b.component_id"))
-    rows = documents.alias("a").join(kept.alias("b"), ids, "left_semi")
-    nth = spare(documents, "nth")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text"), "text"))
-    return rows.withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
+    """One document of each class of near-duplicates, all columns kept.
+
+    A class is what links of fingerprints reach, whatever the ids: different texts with
+    one id or with none are classes of their own. Of a class the document with the
+    smallest id stays, one without an id only if no other has one; of several with
+    that id the shortest text, then the first in order.
+    """
+    marked = materialise(
+        documents.select("doc_id", F.length("text").alias("len"), F.xxhash64("text").alias("th"), fingerprint(F.col("text")).alias("fp"))
+    )
+    nodes = classes(links(marked.select("fp").distinct()))
+    rooted = marked.join(nodes, marked["fp"] == nodes["node"], "left").select("doc_id", "len", "th", F.coalesce("root", "fp").alias("root"))
+    rooted = materialise(rooted)
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "len")
+    least = rooted.groupBy("root").agg(F.min(place).alias("least"))
+    # texts of one class, id and length differ at most in order
+    chosen = rooted.join(least, "root").where(place.eqNullSafe(F.col("least"))).select("root", "doc_id", "len", "th").distinct()
+    root, nth = spare(documents, "root"), spare(documents, "nth")
+    same = (
+        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
+        & F.length("a.text").eqNullSafe(F.col("b.len"))
+        & (F.xxhash64("a.text") == F.col("b.th"))
+    )
+    rows = documents.alias("a").join(chosen.alias("b"), same).select("a.*", F.col("b.root").alias(root))
+    first = F.row_number().over(Window.partitionBy(root).orderBy("text"))
+    return rows.withColumn(nth, first).where(F.col(nth) == 1).drop(nth, root)
