@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.llm import shingles
 from tidegauge.llm.common import materialise, spare
 
 RADIUS = 2
@@ -238,18 +239,29 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return marked.join(of_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _fingerprint_and_bands(text: Column) -> Column:
+    @F.pandas_udf("fp long, bands array<long>")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = shingles.Words()
+        for texts in batches:
+            bands = [shingles.keys(shingles.shingles(t, known)) for t in texts]
+            yield pd.DataFrame({"fp": np.array([fingerprint_of(t) for t in texts], np.int64), "bands": bands})
+
+    return both(text)
+
+
 def representatives(documents: DataFrame) -> DataFrame:
     """One document of each class of near-duplicates, all columns kept.
 
-    A class is what links of fingerprints reach, whatever the ids: different texts with
-    one id or with none are classes of their own. Of a class the document with the
+    Texts are linked if their fingerprints are, or if they share at least
+    ``shingles.ALIKE`` of their five-word shingles. A class is what links reach,
+    whatever the ids: different texts with one id or with none are classes of their own. Of a class the document with the
     smallest id stays, one without an id only if no other has one; of several with
     that id the shortest text, then the first in order.
     """
-    marked = materialise(
-        documents.select("doc_id", F.length("text").alias("len"), F.xxhash64("text").alias("th"), fingerprint(F.col("text")).alias("fp"))
-    )
-    nodes = classes(links(marked.select("fp").distinct()))
+    marked = documents.select("doc_id", F.length("text").alias("len"), F.xxhash64("text").alias("th"), _fingerprint_and_bands(F.col("text")).alias("s"))
+    marked = materialise(marked.select("doc_id", "len", "th", "s.fp", "s.bands"))
+    nodes = classes(links(marked.select("fp").distinct()).unionAll(shingles.links(documents, marked)).distinct())
     rooted = marked.join(nodes, marked["fp"] == nodes["node"], "left").select("doc_id", "len", "th", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted)
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "len")
