@@ -82,3 +82,26 @@ def test_edge_rows(spark, edge, none):
     kept = cp.accepted(edge)
     assert kept.columns == edge.columns and kept.where("language <> 'own language'").count() == 0
     assert kept.count() == sum(r.lang_pred != "und" for r in got)
+
+
+def test_languages_with_long_texts_are_learned(spark):
+    # one huge text among short ones, few long texts, one text, many empty ones
+    rows = [(i, prose(i, 90, LETTERS["aa"]), "aa") for i in range(400)] + [(1000, prose(1, 400_000, "zyxwv"), "aa")]
+    rows += [(2000 + i, prose(i, 60_000, LETTERS["bb"]), "bb") for i in range(9)] + [(3000, prose(5, 20_000, LETTERS["cc"]), "cc")]
+    rows += [(4000 + i, "12 34", "cc") for i in range(300)]
+    rows = [(i, t, lang, None, None) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1 or lang != "cc"]
+    if not any(r[2] == "cc" and len(r[1]) > 9 for r in rows):
+        rows.append((3001, prose(5, 20_000, LETTERS["cc"]), "cc", None, None))
+    known = cp.learn(documents(spark, rows).repartition(8))
+    assert known.languages == ["aa", "bb", "cc"]
+    assert min(2 ** known.bits) >= 20_000
+    texts = [prose(900 + k, 60, v) for k in range(20) for v in LETTERS.values()]
+    assert [lang for lang, _ in known.predict(texts)] == list(LETTERS) * 20
+
+
+def test_long_text_gives_no_more_than_a_slice_where_there_are_many(spark):
+    rows = [(i, prose(i, 90, "abcdefghij"), "aa", None, None) for i in range(400)] + [(1000 + i, prose(i, 40_000, "z"), "aa", None, None) for i in range(3)]
+    known = cp.learn(documents(spark, rows))
+    # without the bound the three long texts hold 95 % of the letters
+    cost, _ = known.parse([prose(77, 200, "abcdefghij"), prose(78, 200, "z")])
+    assert 2 ** known.bits[0] >= 20_000 and cost[0][0] < 700 * known.bits[0]

@@ -30,6 +30,7 @@ from tidegauge.llm.common import spare
 REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
 SYMBOLS = 64  # letters told apart, and the space
+SLICE = 2048  # letters that one of many documents gives to a reference
 STRETCH = 1024
 TOGETHER = 1 << 21  # letters that are parsed in step, which bounds a task's memory
 UNKNOWN = "und"
@@ -198,27 +199,36 @@ def held_out(doc_id: Column) -> Column:
 def learn(documents: DataFrame) -> References:
     """References from a bounded sample of labelled documents that are not held out.
 
-    How many letters each language has decides the share of its documents to read; of
-    these, in the order of a hash, come the letters of the reference. The driver gets
-    about ``SAMPLE_TIMES`` x ``REFERENCE_CHARS`` letters per language.
+    A document gives at most a slice of its text, from a place that depends on a hash,
+    so that a reference comes from many documents where there are many. How many letters
+    these slices hold decides the share of a language's documents to read; where slices
+    of ``SLICE`` letters hold too few, slices are longer and all are read. The document
+    with the smallest hash is always read, so that no language is lost. The driver
+    gets about ``SAMPLE_TIMES`` x ``REFERENCE_CHARS`` letters per language.
     """
     usable = documents.where("lang is not null and text is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
-    place = F.pmod(F.xxhash64("doc_id", F.lit("reference")), F.lit(1 << 40)) / float(1 << 40)
-    usable = usable.select("lang", place.alias("place"), "doc_id", F.col("text"))
-    sizes = usable.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).collect()  # one row per language
-    chosen = F.lit(False)
+    hashed = F.xxhash64("doc_id", "text", F.lit("reference"))
+    usable = usable.where(F.col("text").rlike(r"\p{L}")).select("lang", hashed.alias("hash"), "doc_id", "text", F.length("text").alias("n"))
+    place = (F.pmod("hash", F.lit(1 << 40)) / float(1 << 40)).alias("place")
+    slices = [SLICE << k for k in range(7)]
+    held = [F.sum(F.least("n", F.lit(size))).alias(f"held{size}") for size in slices]
+    # repeated rows count once; one row per language
+    sizes = usable.select("lang", "hash", "n", place).distinct().groupBy("lang").agg(F.min("place").alias("first"), *held).collect()
+    needed = SAMPLE_TIMES * REFERENCE_CHARS
+    chosen, size = F.lit(False), F.lit(SLICE)
     for row in sizes:
-        share = min(1.0, SAMPLE_TIMES * REFERENCE_CHARS / max(row["chars"], 1))
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (F.col("place") < share))
-    # of a very long document a reference takes no more than it holds
-    rows = usable.where(chosen).select("lang", "place", "doc_id", F.substring("text", 1, 2 * REFERENCE_CHARS).alias("text")).collect()
+        # the shortest slices that hold what is needed
+        cut = next((c for c in slices if row[f"held{c}"] >= needed), slices[-1])
+        share = needed / row[f"held{cut}"] if cut == SLICE and row[f"held{cut}"] > needed else 1.0
+        of_language = F.col("lang") == row["lang"]
+        chosen = chosen | (of_language & (F.col("place") <= F.lit(max(share, row["first"]))))
+        size = F.when(of_language, cut).otherwise(size)
+    begin = F.pmod(F.xxhash64("hash", F.lit("slice")), F.greatest(F.col("n") - size + 1, F.lit(1))).cast("int") + 1
+    rows = usable.select("*", place).where(chosen).select("lang", "place", "doc_id", F.substring("text", begin, size).alias("text")).distinct().collect()
     rows.sort(key=lambda r: (r["place"], r["doc_id"], r["text"]))
     samples: dict[str, list[str]] = {}
-    held: dict[str, int] = {}
     for r in rows:
-        if held.get(r["lang"], 0) < 2 * REFERENCE_CHARS:
-            samples.setdefault(r["lang"], []).append(r["text"])
-            held[r["lang"]] = held.get(r["lang"], 0) + len(r["text"])
+        samples.setdefault(r["lang"], []).append(r["text"])
     return build({name: "\n".join(texts) for name, texts in samples.items()})
 
 
