@@ -105,3 +105,22 @@ def test_long_text_gives_no_more_than_a_slice_where_there_are_many(spark):
     # without the bound the three long texts hold 95 % of the letters
     cost, _ = known.parse([prose(77, 200, "abcdefghij"), prose(78, 200, "z")])
     assert 2 ** known.bits[0] >= 20_000 and cost[0][0] < 700 * known.bits[0]
+
+
+def test_scripts_with_many_letters_are_told_apart(spark):
+    # two scripts of 400 letters that share the first half, and one of Latin letters with accents
+    han = [chr(0x4E00 + i) for i in range(600)]
+    scripts = {"s1": "".join(han[:400]), "s2": "".join(han[:200] + han[400:]), "s3": "abcdefghijklmnopqrstuvwxyzàâäçéèêëîïôöùûüÿñ"}
+    samples = {k: prose(3, 3000, v) for k, v in scripts.items()}
+    known = cp.build(samples)
+    texts = [prose(80 + k, 30, v) for k in range(10) for v in scripts.values()] + [han[500] * 9 + "q" + chr(0x3042) * 5 + " " + han[0]]
+    cost, _ = known.parse(texts)
+    clean = lambda t: " ".join("".join(c.lower() if c.isalpha() else " " for c in t).split())
+    for row, t in zip(cost, texts):
+        for k, name in enumerate(known.languages):
+            wanted = slow_phrases(clean(t), clean(samples[name])[: cp.REFERENCE_CHARS])
+            assert abs(row[k] / known.bits[k] - wanted) <= 2
+    assert [lang for lang, _ in known.predict(texts[:30])] == list(scripts) * 10
+    rows = [(i, prose(i, 60, list(scripts.values())[i % 3]), list(scripts)[i % 3], None, None) for i in range(90)]
+    got = {r.doc_id: r.lang_pred for r in cp.identify(documents(spark, rows)).collect()}
+    assert all(got[i] == lang for i, _, lang, *_ in rows)

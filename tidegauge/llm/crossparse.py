@@ -6,11 +6,12 @@ one phrase, and the next begins behind it. The language whose reference needs th
 fewest phrases, normalised by the bits it takes to name a place in it, wins.
 
 References are sampled from labelled documents, at most ``REFERENCE_CHARS`` letters a
-language. Letters keep their identity if they occur often enough in the references;
-everything else is a space, and spaces are joined. An automaton becomes a table of
-transitions in which a failing step already leads on from the start and is marked as
-the end of a phrase, so that a task walks thousands of stretches of text in step, one
-table lookup per letter and language. Whole texts are parsed, in stretches of
+language. Every letter of a reference keeps its identity; what is no letter is a space,
+and spaces are joined. An automaton becomes a table of transitions in which a failing
+step already leads on from the start and is marked as the end of a phrase, so that a
+task walks thousands of stretches of text in step, one lookup per letter and language.
+The most frequent letters have columns in the table; the steps of all others, few per
+state, are found by binary search in a sorted list. Whole texts are parsed, in stretches of
 ``STRETCH`` letters, each of which may cut one phrase, the same for all languages.
 """
 
@@ -29,7 +30,7 @@ from tidegauge.llm.common import spare
 
 REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
-SYMBOLS = 64  # letters told apart, and the space
+SYMBOLS = 64  # columns of a table: the space, frequent letters, letters that no reference has
 SLICE = 2048  # letters that one of many documents gives to a reference
 STRETCH = 1024
 TOGETHER = 1 << 21  # letters that are parsed in step, which bounds a task's memory
@@ -88,14 +89,21 @@ class Automaton:
         alone = len(self.next)  # where a symbol leads that the reference lacks
         fresh = np.full(SYMBOLS, 2 * alone, np.int32)
         for c, to in self.next[0].items():
-            fresh[c] = 2 * to
+            if c < SYMBOLS:
+                fresh[c] = 2 * to
         out = np.tile(fresh + 1, (alone + 1, 1))
         out[0] = fresh  # a walk begins here, where nothing ends
         for state, steps in enumerate(self.next):
             for c, to in steps.items():
-                out[state, c] = 2 * to
+                if c < SYMBOLS:
+                    out[state, c] = 2 * to
         return out
 
+    def rare(self) -> np.ndarray:
+        """Rows (state, symbol, next state) for the symbols that the table has no column for."""
+        rows = [(state, c, to) for state, steps in enumerate(self.next) for c, to in steps.items() if c >= SYMBOLS]
+        return np.array(rows, np.int64).reshape(-1, 3)
+
 
 @dataclass(frozen=True)
 class References:
@@ -104,6 +112,18 @@ class References:
     tables: np.ndarray  # all languages, one behind the other
     first: np.ndarray  # where each language starts
     bits: np.ndarray  # to name a place in each reference
+    steps: list[tuple[np.ndarray, np.ndarray]]  # of rare letters, for each language: sorted state * letters + letter, 2 * next state
+    starts: np.ndarray  # for each language and letter: 2 * state behind it from the start, or where it leads if the reference lacks it
+
+    def _rare(self, lang: int, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """As a table lookup, for rare letters; ``state`` counts from the language's start."""
+        known, to = self.steps[lang]
+        fresh = self.starts[lang, c] + (state != 0)
+        if not len(known):
+            return fresh
+        key = state * self.starts.shape[1] + c
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        return np.where(known[at] == key, to[at], fresh)
 
     def parse(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases times bits for each text and language, and whether a text has a letter."""
@@ -128,11 +148,16 @@ class References:
         state = np.repeat(self.first[:, None], len(whose), axis=1)
         going = np.searchsorted(-length, -np.arange(1, STRETCH + 1), side="right")
         table = self.tables.reshape(-1)
+        any_rare = bool((symbols >= SYMBOLS).any())
         for step in range(int(length.max(initial=0))):
             m = going[step]
             c = symbols[start[:m] + step]
+            rare = np.flatnonzero(c >= SYMBOLS) if any_rare else c[:0]
+            column = np.minimum(c, SYMBOLS - 1) if len(rare) else c
             for lang in range(len(self.languages)):
-                found = table[state[lang, :m] * SYMBOLS + c]
+                found = table[state[lang, :m] * SYMBOLS + column]
+                if len(rare):
+                    found[rare] = self._rare(lang, state[lang, rare] - self.first[lang], c[rare])
                 phrases[lang, :m] += found & 1
                 state[lang, :m] = (found >> 1) + self.first[lang]
         cost = np.stack([np.bincount(whose, p + 1, len(texts)) for p in phrases], axis=1) if len(self.languages) else np.zeros((len(texts), 0))
@@ -171,25 +196,35 @@ def build(samples: dict[str, str]) -> References:
         points = letters[code_points(samples[name])]
         kept = (points != 0) | np.r_[True, points[:-1] != 0] if len(points) else np.zeros(0, bool)
         cleaned[name] = points[kept][:REFERENCE_CHARS]
-    # the letters that are frequent in any language are told apart
+    # the letters that are frequent in any language have columns
     share: dict[int, float] = {}
     for points in cleaned.values():
         values, counts = np.unique(points[points > 0], return_counts=True)
         for v, k in zip(values.tolist(), counts.tolist()):
             share[v] = max(share.get(v, 0.0), k / len(points))
-    frequent = sorted(share, key=lambda v: (-share[v], v))[: SYMBOLS - 2]
-    number = np.full(POINTS, SYMBOLS - 1, np.int64)  # other letters
+    ordered = sorted(share, key=lambda v: (-share[v], v))
+    frequent, others = ordered[: SYMBOLS - 2], ordered[SYMBOLS - 2 :]
+    number = np.full(POINTS, SYMBOLS - 1, np.int32)  # letters that no reference has
     number[0] = 0
     number[frequent] = np.arange(1, len(frequent) + 1)
-    tables, first, at = [], [], 0
-    for points in cleaned.values():
-        table = Automaton(number[points].tolist()).table()
+    number[others] = np.arange(SYMBOLS, SYMBOLS + len(others))
+    n = SYMBOLS + len(others)
+    tables, first, at, steps, starts = [], [], 0, [], np.zeros((len(cleaned), n), np.int32)
+    for lang, points in enumerate(cleaned.values()):
+        automaton = Automaton(number[points].tolist())
+        table, rare = automaton.table(), automaton.rare()
+        key = rare[:, 0] * n + rare[:, 1]
+        order = np.argsort(key)
+        steps.append((key[order], (2 * rare[order, 2]).astype(np.int32)))
+        starts[lang] = 2 * (len(table) - 1)
+        from_start = rare[rare[:, 0] == 0]
+        starts[lang, from_start[:, 1]] = 2 * from_start[:, 2]
         tables.append(table)
         first.append(at)
         at += len(table)
     bits = np.array([math.log2(max(len(p), 2)) for p in cleaned.values()])
     joined = np.concatenate(tables) if tables else np.zeros((0, SYMBOLS), np.int32)
-    return References(list(cleaned), number[letters].astype(np.int16), joined, np.array(first, np.int64), bits)
+    return References(list(cleaned), number[letters], joined, np.array(first, np.int64), bits, steps, starts)
 
 
 def held_out(doc_id: Column) -> Column:
