@@ -55,3 +55,51 @@ def test_edge_rows(spark, edge, none):
     assert fm.classify(none, labels).count() == 0
     kept = fm.accepted(edge, labels)
     assert kept.columns == edge.columns and kept.where("score <> 'own score'").count() == 0
+
+
+def logit(p):
+    return np.log(p / (1 - p))
+
+
+def test_length_alone_does_not_raise_a_score():
+    rng = np.random.default_rng(2)
+    size = fm.BUCKETS + fm.N_STATISTICS * fm.STEPS_PER_STATISTIC
+    model = fm.Model(0.1, rng.normal(0.1, 0.3, size), rng.normal(0, 0.1, (size, fm.RANK)))
+    words, none = rng.integers(0, fm.BUCKETS, 400), np.zeros(0, np.int64)
+    scores = [logit(model.score(np.tile(words, k), none)) for k in (1, 10, 1000)]
+    assert max(scores) - min(scores) < 0.2
+
+
+def test_fitted_on_what_is_scored(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 3000, 60_000)
+    found, counts = fm.cells(words)
+    assert counts.sum() == len(words) and np.array_equal(np.repeat(found, counts.astype(int)), np.sort(words))
+    # counts of cells are the same as all words one by one
+    stats, some = fm.BUCKETS + np.arange(5), words[:3000]
+    by_cell = fm.fit([(*fm.cells(some), stats, 1), (*fm.cells(words[:40]), stats, 0)] * 40, 0.5)
+    by_word = fm.fit([(some, np.ones(3000), stats, 1), (words[:40], np.ones(40), stats, 0)] * 40, 0.5)
+    assert np.allclose(by_cell.weights, by_word.weights, atol=1e-3) and np.allclose(by_cell.factors, by_word.factors, atol=1e-3)
+    assert by_cell.score(some, stats) > 0.7 > 0.3 > by_cell.score(words[:40], stats)
+    monkeypatch.setattr(fm, "TRAINING_CELLS", 500)
+    part, stand = fm.cells(words)
+    assert len(part) <= 500 and abs(stand.sum() - len(words)) < 1
+
+
+def test_accuracy_by_length(spark):
+    sizes = (15, 100, 500, 3000, 30_000)
+    rows, labels = [], []
+    for i in range(600):
+        n = sizes[i % 4] if i % 60 else sizes[4]
+        bad = i % 3 == 0
+        # bad texts repeat their words; their structure else is the same
+        text = prose(i, n) if not bad else " ".join((prose(i, max(n // 8, 3)) + " ").split() * 8)
+        rows.append((i, text, None, None, None))
+        labels.append((i, int(not bad), 0))
+    # far longer than any text of the sample
+    rows += [(9000, prose(9000, 300_000), None, None, None), (9001, " ".join(prose(9001, 37_000).split() * 8), None, None, None)]
+    got = {r.doc_id: r for r in fm.classify(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality long, toxic long")).collect()}
+    for n in sizes[:4]:
+        held = [i for i in range(600) if got[i].held_out and i % 60 and sizes[i % 4] == n]
+        assert len(held) > 20 and sum(got[i].predicted == int(i % 3 != 0) for i in held) >= 0.9 * len(held)
+    assert 0.001 < got[9001].score < 0.7 <= got[9000].score

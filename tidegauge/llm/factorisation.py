@@ -3,7 +3,9 @@
 A document is a sum of features, each with a weight and a low-rank factor: its words,
 hashed into ``BUCKETS`` cells, and its structure statistics, each cut into steps.
 A group of n features weighs 1 / sqrt(n) each, words ``WORD_SHARE`` of that, since
-single words say less than structure. All pairs of features
+single words say less than structure; the words of a text of over ``EVEN_WORDS`` weigh
+1 / n times what makes this continuous, so that long texts count by the mean of their
+words and no text scores at a magnitude that fitting has not seen. All pairs of features
 interact through the product of their factors; the sum-of-squares identity
 
     sum over pairs <v_i, v_j> x_i x_j = (|sum v_i x_i|^2 - sum |v_i x_i|^2) / 2
@@ -12,8 +14,10 @@ scores a text in time linear in its words.
 
 The model is fitted on a sample of labelled documents of at most about
 ``TRAINING_ROWS`` rows, chosen by a hash of the id, on the driver: a few thousand
-lists of feature numbers. Scoring reads every whole text once and shuffles nothing.
-Labels, language, source and id are never features.
+lists of feature numbers. It sees the words of whole texts, as counts of their cells; of
+a text with over ``TRAINING_CELLS`` cells evenly spread words stand for all. Scoring reads
+every whole text once and shuffles nothing. Labels, language, source, ``n_chars`` and id
+are never features: lengths are taken from the text.
 """
 
 from __future__ import annotations
@@ -33,7 +37,8 @@ BUCKETS = 1 << 15
 RANK = 8
 STEPS_PER_STATISTIC = 16
 TRAINING_ROWS = 8000
-TRAINING_WORDS = 400  # words of a training document that are used, evenly over the text
+TRAINING_CELLS = 4096  # different cells of a training document's words, which bounds the sample
+EVEN_WORDS = 256  # from so many words on, the words of a text count by their mean
 EPOCHS = 8
 BATCH = 64
 RATE = 0.05
@@ -108,7 +113,7 @@ class Model:
     def score(self, words: np.ndarray, stats: np.ndarray) -> float:
         """Probability of label 1."""
         linear, total, square = self.bias, np.zeros(self.factors.shape[1]), 0.0
-        for numbers, x in ((words, WORD_SHARE * _worth(len(words))), (stats, _worth(len(stats)))):
+        for numbers, x in ((words, word_worth(len(words))), (stats, _worth(len(stats)))):
             if len(numbers):
                 v = self.factors[numbers]
                 linear += x * float(self.weights[numbers].sum())
@@ -121,9 +126,26 @@ def _worth(n: int) -> float:
     return 1 / np.sqrt(n) if n else 0.0
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], prior: float, seed: int = 7) -> Model:
+def word_worth(n: int) -> float:
+    """What each of a text's n words weighs."""
+    return WORD_SHARE * _worth(n) * min(1.0, float(np.sqrt(EVEN_WORDS / max(n, 1))))
+
+
+def cells(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different cells of a text's words, and how many words of the text each stands for."""
+    found, counts = np.unique(words, return_counts=True)
+    if len(found) <= TRAINING_CELLS:
+        return found, counts.astype(float)
+    part = words[:: -(-len(words) // TRAINING_CELLS)]
+    found, counts = np.unique(part, return_counts=True)
+    return found, counts * (len(words) / len(part))
+
+
+def fit(examples: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], prior: float, seed: int = 7) -> Model:
     """Minibatch Adagrad on the logistic loss; label 1 weighs ``prior`` of the total.
 
+    An example has the cells of its words, how many words each stands for, its
+    statistics and its label; words of one cell are pairs as others are.
     With no example, or of one class only, the model knows the share of label 1 alone.
     """
     size = BUCKETS + N_STATISTICS * STEPS_PER_STATISTIC
@@ -135,24 +157,26 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], prior: float, seed:
     bias, weights, factors = 0.0, np.zeros(size), rng.normal(0, 0.02, (size, RANK))
     seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, RANK), 1e-6), 1e-6
     balance = np.where(labels == 1, prior / share, (1 - prior) / (1 - share))
-    flat = [np.concatenate(e[:2]) for e in examples]
-    worth = [np.concatenate([np.full(len(w), WORD_SHARE * _worth(len(w))), np.full(len(s), _worth(len(s)))]) for w, s, _ in examples]
+    flat = [np.concatenate([w, s]).astype(np.int32) for w, _, s, _ in examples]
+    times = [np.concatenate([c, np.ones(len(s))]).astype(np.float32) for _, c, s, _ in examples]
+    each = [(word_worth(round(c.sum())), len(w), _worth(len(s)), len(s)) for w, c, s, _ in examples]
     for _ in range(EPOCHS):
         order = rng.permutation(len(examples))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
             numbers = np.concatenate([flat[i] for i in chosen])
-            x = np.concatenate([worth[i] for i in chosen])
+            one = np.concatenate([np.repeat([a, b], [n, m]) for a, n, b, m in (each[i] for i in chosen)])
+            x = one * np.concatenate([times[i] for i in chosen])
             starts = np.cumsum([0] + [len(flat[i]) for i in chosen[:-1]])
             row = np.repeat(np.arange(len(chosen)), [len(flat[i]) for i in chosen])
             vx = factors[numbers] * x[:, None]
             total = np.add.reduceat(vx, starts, axis=0)
-            raw = bias + np.add.reduceat(weights[numbers] * x, starts) + ((total**2).sum(axis=1) - np.add.reduceat((vx**2).sum(axis=1), starts)) / 2
+            raw = bias + np.add.reduceat(weights[numbers] * x, starts) + ((total**2).sum(axis=1) - np.add.reduceat((factors[numbers] ** 2).sum(axis=1) * x * one, starts)) / 2
             error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[chosen]) * balance[chosen] / len(chosen)
             touched, back = np.unique(numbers, return_inverse=True)
             scale = error[row] * x
             grad_w = np.bincount(back, scale, len(touched)) + PENALTY * weights[touched]
-            inner = (total[row] - vx) * scale[:, None]
+            inner = (total[row] - factors[numbers] * one[:, None]) * scale[:, None]
             grad_v = np.stack([np.bincount(back, inner[:, k], len(touched)) for k in range(RANK)], axis=1) + PENALTY * factors[touched]
             seen_w[touched] += grad_w**2
             seen_v[touched] += grad_v**2
@@ -193,16 +217,22 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         buckets = Buckets()
         for rows in batches:
             found = [features(t, buckets) for t in rows["text"]]
-            # of long texts a part of the words, spread over the text
-            words = [w[:: max(1, -(-len(w) // TRAINING_WORDS))] for w, _ in found]
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "words": words, "stats": [s for _, s in found], "quality": rows["quality"]})
+            held = [cells(w) for w, _ in found]
+            yield pd.DataFrame(
+                {
+                    "doc_id": rows["doc_id"], "words": [w.astype("<i4").tobytes() for w, _ in held], "counts": [c.astype("<f4").tobytes() for _, c in held],
+                    "stats": [s.astype("<i4").tobytes() for _, s in found], "quality": rows["quality"],
+                }
+            )
 
     # about TRAINING_ROWS ids, whatever the corpus: texts stay where they are
     columns = documents.select(F.col("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-    rows = columns.mapInPandas(numbers, "doc_id long, words array<long>, stats array<long>, quality int").collect()  # about TRAINING_ROWS rows
-    rows.sort(key=lambda r: (r["doc_id"], r["words"]))
+    schema = "doc_id long, words binary, counts binary, stats binary, quality int"
+    rows = columns.mapInPandas(numbers, schema).collect()  # about TRAINING_ROWS rows
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["words"]), bytes(r["counts"]), bytes(r["stats"])))
     prior = sizes.get(1, 0) / max(sum(sizes.values()), 1)
-    return fit([(np.array(r["words"], np.int64), np.array(r["stats"], np.int64), r["quality"]) for r in rows], prior)
+    read = lambda r: (np.frombuffer(r["words"], "<i4"), np.frombuffer(r["counts"], "<f4"), np.frombuffer(r["stats"], "<i4"), r["quality"])
+    return fit([read(r) for r in rows], prior)
 
 
 def scored(documents: DataFrame, model: Model, out: str = "score") -> DataFrame:
