@@ -48,6 +48,19 @@ def test_time_order_puts_undated_last(dates, labels):
     assert ids[-1] == 5 and ids[:5] == [0, 1, 2, 3, 4]
 
 
+def test_places_in_time_order_cover_all_rows(spark):
+    from tidegauge.plans.catalog import QUERIES
+
+    rows = [(i, None if i % 7 == 0 else float((i * 37) % 50)) for i in range(2000)]
+    got = prepare.numbered_in_time_order(spark.createDataFrame(rows, "Id long, t_min double")).collect()
+    wanted = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0.0, r[0]))
+    assert [(r.Id, r.t_min) for r in sorted(got, key=lambda r: r.place)] == wanted
+    assert sorted(r.place for r in got) == list(range(1, 2001))
+    every = QUERIES["time_order_places"](spark, "/root/testdata/sf0.001").collect()
+    undated = [r.place for r in every if r.t_min is None]
+    assert undated and min(undated) == len(every) - len(undated) + 1
+
+
 def test_duplicate_keys_are_refused(spark, dates, labels):
     twice = labels.unionByName(labels.limit(1))
     with pytest.raises(Exception, match="duplicate key"):

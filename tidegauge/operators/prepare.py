@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.clean import finite, number, quoted
 from tidegauge.operators.joins import join_one_to_one
+from tidegauge.session import materialise
 
 # fixed values: column-name pattern and time unit (hundredths of a week)
 COLUMN_PATTERN = r"^L(\d+)_S(\d+)_[FD](\d+)$"
@@ -102,6 +103,23 @@ def in_time_order(meta: DataFrame, key: str = "Id") -> DataFrame:
     return meta.orderBy(F.col("t_min").asc_nulls_last(), F.col(key))
 
 
+def numbered_in_time_order(meta: DataFrame, key: str = "Id", out: str = "place") -> DataFrame:
+    """All parts with their place from 1 on, in the order of ``in_time_order``.
+
+    Ranges of the order are numbered by themselves and laid end to end by their sizes,
+    so that no task sorts more than a range.
+    """
+    order = [F.col("t_min").asc_nulls_last(), F.col(key)]
+    # kept, since ranges come from a sample and must not be cut anew
+    ranged = materialise(meta.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = ranged.withColumn("_nth", nth).join(F.broadcast(starts), "_range")
+    return placed.withColumn(out, F.col("_start") + F.col("_nth")).drop("_range", "_start", "_nth")
+
+
 def feature_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``feature, n_valid, coverage, variance``: counts and variances as plain aggregates.
 

@@ -943,6 +943,12 @@ def undated_last(spark, d):
     return first.select(place.cast("bigint").alias("place"), "Id", r6(F.col("t_min").cast("double")).alias("t_min"))
 
 
+@query
+def time_order_places(spark, d):
+    out = prepare.numbered_in_time_order(meta(spark, d).select("Id", "t_min"))
+    return out.select(long("place"), "Id", r6(F.col("t_min").cast("double")).alias("t_min"))
+
+
 @query
 def artefact_checks(spark, d):
     m = meta(spark, d)
