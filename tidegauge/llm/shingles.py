@@ -128,7 +128,8 @@ def links(documents: DataFrame, marked: DataFrame) -> DataFrame:
     ``marked`` holds, for each text by its hash ``th``, the fingerprint and its ``bands``.
     """
     texts = marked.where(F.size("bands") > 0).groupBy("fp", "th").agg(F.first("bands").alias("bands"))
-    keyed = texts.select("fp", "th", F.explode("bands").alias("key"))
+    # shuffled once, for counting and for the members of groups
+    keyed = texts.select("fp", "th", F.explode("bands").alias("key")).repartition("key")
     groups = keyed.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp", "th")).alias("who"), F.min("fp").alias("low"), F.max("fp").alias("high")
     )

@@ -267,13 +267,20 @@ def representatives(documents: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "len")
     least = rooted.groupBy("root").agg(F.min(place).alias("least"))
     # texts of one class, id and length differ at most in order
-    chosen = rooted.join(least, "root").where(place.eqNullSafe(F.col("least"))).select("root", "doc_id", "len", "th").distinct()
+    tied = rooted.join(least, "root").where(place.eqNullSafe(F.col("least"))).groupBy("root", "doc_id", "len", "th").agg(F.count(F.lit(1)).alias("n"))
+    of_root = tied.groupBy("root").agg(F.sum("n").alias("tied"))
+    chosen = materialise(tied.join(of_root, "root").select("root", "doc_id", "len", "th", "tied"))
     root, nth = spare(documents, "root"), spare(documents, "nth")
     same = (
         F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
         & F.length("a.text").eqNullSafe(F.col("b.len"))
         & (F.xxhash64("a.text") == F.col("b.th"))
     )
-    rows = documents.alias("a").join(chosen.alias("b"), same).select("a.*", F.col("b.root").alias(root))
+
+    def rows(which: str) -> DataFrame:
+        return documents.alias("a").join(chosen.where(which).alias("b"), same).select("a.*", F.col("b.root").alias(root))
+
+    # most classes have one such row, which is not shuffled again; both joins share the shuffle of the documents
     first = F.row_number().over(Window.partitionBy(root).orderBy("text"))
-    return rows.withColumn(nth, first).where(F.col(nth) == 1).drop(nth, root)
+    several = rows("tied > 1").withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
+    return rows("tied = 1").unionAll(several).drop(root)
