@@ -14,9 +14,7 @@ VOCABULARY = vocabulary("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCABULARY)  # as it is by default
 
 
 def ids_of(tokenizer, text):
@@ -26,7 +24,9 @@ def ids_of(tokenizer, text):
 def test_words_have_the_tokenizers_ids(tokenizer):
     texts = [
         "It's don't WE'LL I'd  x's 'S 'b", "q ét́ İI Σας ǅ ß SS ½ a½b 12ab_-x!!'re'll", "\x1cab\x1d \x00 \x7f a​b\xa0c",
-        "<|endoftext|> a<|startoftext|>b", "日本語 ñÑ ÿŸ ×÷ µ ª º naïve—dash…", "a@b.com http://x.y/z?q=1&r=#2", "",
+        "<|endoftext|> a<|startoftext|>b", "<|endoftext|>", "<|startoftext|>", "x <|endoftext|> y", "x<|endoftext|>y<|startoftext|>",
+        "<|ENDOFTEXT|> <|end oftext|> <||> |>", "<|startoftext|><|endoftext|> tail\n<|endoftext|>", "<<|endoftext|>>,<|endoftext|>'s",
+        "日本語 ñÑ ÿŸ ×÷ µ ª º naïve—dash…", "a@b.com http://x.y/z?q=1&r=#2", "",
     ]
     words = packing.WordIds(VOCABULARY)
     for t in texts:
@@ -56,6 +56,8 @@ def check(tokenizer, rows, got, window=2048):
 
 def test_round_trip_with_little_padding(spark, tokenizer):
     rows = [(i, prose(i, 5 + (i * 37) % 700), None, None, None) for i in range(300)]
+    special = ["<|endoftext|>", "one<|startoftext|>two", "a <|endoftext|> b", "<|startoftext|> c<|endoftext|>"]
+    rows += [(300 + i, t, None, None, None) for i, t in enumerate(special)]
     full = check(tokenizer, rows, packing.pack(documents(spark, rows), VOCABULARY).collect())
     assert sum(2048 - n for n in full) < 0.02 * 2048 * len(full)
 

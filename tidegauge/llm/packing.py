@@ -55,7 +55,8 @@ class WordIds(dict):
     words in turn; each different word is tokenised once. Most words consist of
     ASCII and Latin-1 letters, digits and marks: those are lowered and split here, and
     the vocabulary's merges are asked for each different part. All others, and words
-    that could spell a special token, go through the whole tokenizer.
+    that could spell a special token, go through the whole tokenizer, which gives a
+    special token in a text its own id.
     """
 
     def __init__(self, vocabulary: str):
@@ -63,7 +64,6 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
         self.merges, self.parts, self.letters = self.tokenizer.model, {}, byte_letters()
 
     def part(self, part: str) -> bytes:
