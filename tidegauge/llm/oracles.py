@@ -41,4 +41,36 @@ SELECT m.conv_id, m.turn, m.role, bd.body, coalesce(n_quotes, 0) AS n_quotes, co
 FROM m JOIN bd USING (rid) LEFT JOIN tr ON tr.conv_id = m.conv_id AND tr.turn = m.turn
 LEFT JOIN th ON th.conv_id = m.conv_id AND th.turn = m.turn LEFT JOIN pt ON pt.conv_id = th.conv_id AND pt.head = th.head"""
 
-LLM_ORACLES: dict[str, str] = {"op3_warc_chunks": WARC, "op5_quotation_links": QUOTES}
+
+def part_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain k-means of every part position: all distances in every round."""
+    steps = [
+        """v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, len(embedding) // 8 AS d,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""pt AS MATERIALIZED (SELECT rid, vec_id, p, q[CAST(p * d + 1 AS BIGINT):CAST(p * d + d AS BIGINT)] AS x
+  FROM v, (SELECT unnest(range({parts})) AS p))""",
+        f"""b0 AS MATERIALIZED (SELECT p, e, x FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM pt) WHERE e < {entries})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (SELECT rid, p, min({{'d': dist, 'e': e}}) AS m FROM (SELECT rid, pt.p, e,
+    CAST(list_sum(list_transform(range(1, len(pt.x) + 1), lambda i: (pt.x[i] - b.x[i]) * (pt.x[i] - b.x[i]))) AS BIGINT) AS dist
+  FROM pt JOIN b{i} b ON b.p = pt.p) GROUP BY ALL)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.x, b.x) AS x FROM b{i} b LEFT JOIN (
+    SELECT p, e, list(c ORDER BY pos) AS x FROM (SELECT p, e, pos, CAST(floor(sum(c) / count(*)) AS BIGINT) AS c FROM (
+      SELECT pt.p, m.e AS e, unnest(x) AS c, unnest(range(len(x))) AS pos FROM pt JOIN a{i} a ON a.rid = pt.rid AND a.p = pt.p) GROUP BY ALL) GROUP BY ALL
+  ) n ON n.p = b.p AND n.e = b.e)"""
+            )
+    body = ",\n".join(steps)
+    return f"""WITH {body},
+o AS (SELECT rid, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid),
+h AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, pos)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(x) AS c, unnest(range(len(x))) AS pos FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN o USING (rid), h"""
+
+
+LLM_ORACLES: dict[str, str] = {"op3_warc_chunks": WARC, "op5_quotation_links": QUOTES, "op11_part_codes": part_codes()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import crossparse, factorisation, mixing, packing, prefix_hash, quotes, records, rules, shard_tree, simhash, warc
+from tidegauge.llm import crossparse, factorisation, mixing, packing, part_codes, prefix_hash, quotes, records, rules, shard_tree, simhash, warc
 from tidegauge.llm.common import table, vocabulary
 from tidegauge.llm.oracles import LLM_ORACLES as LLM_ORACLES
 from tidegauge.session import scratch_path
@@ -56,6 +56,10 @@ def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op11_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_codes.with_label_error(*part_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
 def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), scratch_path(spark, "records"))
 
@@ -71,5 +75,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_gray": op8_simhash_gray,
     "op9_shard_tree": op9_shard_tree,
     "op10_cross_parsing": op10_cross_parsing,
+    "op11_part_codes": op11_part_codes,
     "op12_binary_records": op12_binary_records,
 }
