@@ -73,4 +73,27 @@ h AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, pos)) AS c
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN o USING (rid), h"""
 
 
-LLM_ORACLES: dict[str, str] = {"op3_warc_chunks": WARC, "op5_quotation_links": QUOTES, "op11_part_codes": part_codes()}
+# The prefix trie, each prefix known by the digests of its turns; CRC-32 bit by bit.
+TRIE = """WITH m AS MATERIALIZED (SELECT conv_id, turn, sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+    length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL),
+n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS pos FROM m),
+c AS MATERIALIZED (SELECT conv_id, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda s: [CAST(ascii(s) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END) END)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM n)),
+r AS (SELECT c.conv_id, n.pos, n.said, n.chars, 0 AS own FROM c JOIN n ON n.conv_id = c.conv_id - c.conv_id % 100 AND n.pos <= h
+  UNION ALL SELECT c.conv_id, n.pos, n.said, n.chars, 1 FROM c JOIN n ON n.conv_id = c.conv_id AND n.pos > h),
+t AS (SELECT conv_id, said, chars, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM r),
+p AS MATERIALIZED (SELECT conv_id, depth, chars, sha256(string_agg(said, '' ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM t
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM c),
+l AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+w AS MATERIALIZED (SELECT p.*, lag(key) OVER (PARTITION BY conv_id ORDER BY p.depth) AS parent, p.depth = l.depth AS ends FROM p JOIN l USING (conv_id)),
+nd AS MATERIALIZED (SELECT key, min(parent) AS parent, min(depth) AS depth, min(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM w GROUP BY key),
+kd AS MATERIALIZED (SELECT nd.*, coalesce(k.n, 0) AS n_children FROM nd LEFT JOIN (SELECT parent AS key, count(*) AS n FROM nd GROUP BY parent) k USING (key)),
+pr AS (SELECT DISTINCT a.key AS top, b.key AS key FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+sm AS (SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens FROM pr JOIN kd USING (key) GROUP BY top)
+SELECT kd.conv_id, CAST(kd.depth AS INTEGER) AS depth, u.conv_id AS parent_conv_id, kd.n_convs, kd.n_children, n_leaves, saved_tokens, kd.ends_sha256
+FROM kd JOIN sm ON sm.top = kd.key LEFT JOIN kd u ON u.key = kd.parent"""
+
+LLM_ORACLES: dict[str, str] = {"op3_warc_chunks": WARC, "op5_quotation_links": QUOTES, "op11_part_codes": part_codes(), "op13_zfast_trie": TRIE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import crossparse, factorisation, mixing, packing, part_codes, prefix_hash, quotes, records, rules, shard_tree, simhash, warc
+from tidegauge.llm import crossparse, factorisation, mixing, packing, part_codes, prefix_hash, quotes, records, rules, shard_tree, simhash, warc, zfast
 from tidegauge.llm.common import table, vocabulary
 from tidegauge.llm.oracles import LLM_ORACLES as LLM_ORACLES
 from tidegauge.session import scratch_path
@@ -64,6 +64,10 @@ def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), scratch_path(spark, "records"))
 
 
+def op13_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zfast.prefixes(table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_pack_nnls": op2_pack_nnls,
@@ -77,4 +81,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_cross_parsing": op10_cross_parsing,
     "op11_part_codes": op11_part_codes,
     "op12_binary_records": op12_binary_records,
+    "op13_zfast_trie": op13_zfast_trie,
 }
