@@ -15,8 +15,11 @@ takes the k-th place that the plan has for its length.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,14 @@ WINDOW = 2048
 END_ID = 1
 FREQUENT = 96  # lengths that triples are built from: two of these and the one that fills up
 SWEEPS = 60
-CACHED_WORDS = 300_000  # words whose ids a task remembers; forgotten together when full
+CACHED_WORDS, CACHED_PARTS = 400_000, 200_000  # in each of two generations that a worker process remembers
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 # Fixed values of the vocabulary: its pre-tokenizer's pattern, here for lower-case
 # ASCII and Latin-1 only, and the words that consist of such characters.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
@@ -57,6 +61,9 @@ class WordIds(dict):
     the vocabulary's merges are asked for each different part. All others, and words
     that could spell a special token, go through the whole tokenizer, which gives a
     special token in a text its own id.
+
+    What has been asked for is remembered in two generations of bounded size: when the
+    younger one is full it becomes the older one, and words in use move over again.
     """
 
     def __init__(self, vocabulary: str):
@@ -64,33 +71,50 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.merges, self.parts, self.letters = self.tokenizer.model, {}, byte_letters()
+        self.merges, self.letters = self.tokenizer.model, byte_letters()
+        self.older, self.parts, self.older_parts = {}, {}, {}
 
     def part(self, part: str) -> bytes:
-        if len(self.parts) >= CACHED_WORDS:
-            self.parts.clear()
-        spelled = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
-        self.parts[part] = found = np.array([t.id for t in self.merges.tokenize(spelled)], "<u4").tobytes()
+        found = self.older_parts.get(part)
+        if found is None:
+            spelled = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+            found = array("I", [t.id for t in self.merges.tokenize(spelled)]).tobytes()
+        if len(self.parts) >= CACHED_PARTS:
+            self.parts, self.older_parts = {}, self.parts
+        self.parts[part] = found
         return found
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if SIMPLE.fullmatch(text) and "<|" not in text:
-            known = self.parts
-            found = b"".join([known.get(p) or self.part(p) for p in PARTS.findall(text.lower())])
-        else:
-            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.older.get(word)
+        if found is None:
+            text, known = word.decode("utf-8", "replace"), self.parts
+            if LETTERS.fullmatch(text):
+                text = text.lower()
+                found = known.get(text) or self.part(text)
+            elif SIMPLE.fullmatch(text) and "<|" not in text:
+                found = b"".join([known.get(p) or self.part(p) for p in PARTS.findall(text.lower())])
+            else:
+                found = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = found
         return found
 
 
+def word_ids(vocabulary: str) -> WordIds:
+    """The ids of words, kept by the worker process for the tasks that follow on it."""
+    kept = sys.modules.setdefault("tidegauge_worker_words", ModuleType("tidegauge_worker_words")).__dict__
+    if vocabulary not in kept:
+        kept[vocabulary] = WordIds(vocabulary)
+    return kept[vocabulary]
+
+
 def pieces(documents: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
     """Cut every document into pieces of at most ``window`` ids; NULL texts are empty."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(vocabulary)
+        words = word_ids(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
         for batch in batches:

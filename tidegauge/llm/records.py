@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import as_text, materialise
-from tidegauge.llm.packing import WordIds
+from tidegauge.llm.packing import word_ids
 
 END_ID = 2
 FILE_BYTES = 256 << 20  # from here on a task begins another data file
@@ -214,7 +214,7 @@ def write(documents: DataFrame, vocabulary: str, folder: str, end_id: int = END_
     """
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, files = WordIds(vocabulary), _Files(folder)
+        words, files = word_ids(vocabulary), _Files(folder)
         wide = words.tokenizer.get_vocab_size() > 65536 or end_id > 65535
         end = np.array([end_id], "<u4").tobytes()
         payloads, tokens, held = [], [], 0
