@@ -1044,6 +1044,53 @@ def stream_guards(spark, d):
     return out.select("seg", "day", long("exit_code"), "cause", "reason")
 
 
+STREAM_COLUMNS = ["ts", "value", "k", "event_type", "seg", "y", "p"]
+
+
+def decided_stream(spark: SparkSession, d: str, rows: DataFrame, arrival: Column, **how) -> DataFrame:
+    """Rows sent in order of ``arrival``, a file a micro-batch, then a tick far behind the last window."""
+    from tidegauge.streaming import decisions as ds
+    from tidegauge.streaming.guards import state_store
+
+    source, sink = scratch_path(spark, "sent"), scratch_path(spark, "decisions")
+    for n in range(3):
+        rows.where(arrival == n).select(*STREAM_COLUMNS).coalesce(1).write.mode("append").parquet(source)
+    tick = F.date_add(F.lit(ORIGIN).cast("date"), WINDOW.last + 5).cast("timestamp")
+    kinds = {f.name: f.dataType for f in rows.schema}
+    first = rows.limit(1).select(*[tick.cast(kinds[c]).alias(c) if c == "ts" else F.lit(None).cast(kinds[c]).alias(c) for c in STREAM_COLUMNS])
+    first.coalesce(1).write.mode("append").parquet(source)
+    profile = profile_of(spark, d)
+    with state_store(spark, partitions=4):
+        stream = spark.readStream.schema(rows.select(*STREAM_COLUMNS).schema).option("maxFilesPerTrigger", 1).parquet(source)
+        decided = ds.decision_stream(stream, profile, WINDOW, GUARDS, time="ts", origin_day=ORIGIN_DAY, segment="seg", label="y", score="p", buckets=4, **how)
+        q = (
+            decided.writeStream.outputMode("append").format("parquet").option("path", sink)
+            .option("checkpointLocation", sink + "_checkpoint").trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+    return spark.read.schema(ds.DECISIONS).parquet(sink)
+
+
+@query
+def stream_decisions(spark, d):
+    rows = planted(spark, d).where(F.col("day") > REFERENCE_DAYS)
+    out = decided_stream(spark, d, rows, F.floor((F.col("day") - 16) / 5), monitors=rows.select(F.col("seg").alias("segment")).distinct())
+    return out.where("n_late IS NULL").select(F.col("segment").cast("bigint").alias("seg"), "window", "n_rows", long("exit_code"), "cause", "reason")
+
+
+@query
+def stream_late_windows(spark, d):
+    """Segment 1 sends nothing on days 20 to 23, some rows of day 18 come too late, monitor 9 never sends."""
+    sent = planted(spark, d).where((F.col("day") > REFERENCE_DAYS) & ~((F.col("seg") == 1) & F.col("day").between(20, 23)))
+    late = (F.col("day") == 18) & (F.col("event_id") % 7 == 3)
+    named = sent.select(F.col("seg").alias("segment")).distinct()
+    monitors = named.unionByName(named.limit(1).select(F.lit(9).cast("bigint").alias("segment")))
+    out = decided_stream(
+        spark, d, sent, F.when(late, 2).otherwise(F.floor((F.col("day") - 16) / 5)), monitors=monitors, per_segment=True
+    )
+    return out.select(F.col("segment").cast("bigint").alias("seg"), "window", "n_rows", long("exit_code"), "cause", "reason", "n_late")
+
+
 @query
 def adwin(spark, d):
     from tidegauge.streaming.adwin import change_points

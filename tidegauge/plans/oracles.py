@@ -645,3 +645,49 @@ ORACLES["stream_window_monitor"] = with_(EV, REF, LR, windows("ev", "cw", 18, 30
     f"z AS (SELECT {W}, feature, kind, n_cur, CASE WHEN n_cur >= 200 AND m >= 20 THEN e END AS e FROM x JOIN nc USING ({W}))") + (
     f"SELECT {W}, feature, kind, n_cur, {r('e', 'effect')}, e IS NOT NULL AS measurable, coalesce(e > 0.02, false) AS \"over\" FROM z"
 )
+
+
+def critical(dof: str) -> str:
+    """The chi-squared value that equal distributions exceed with the monitor's corrected level."""
+    return "CASE " + dof + "".join(f" WHEN {k} THEN {dbl(chi2_quantile(1 - ALPHA, k))}" for k in range(1, 13)) + " END"
+
+
+def counted_evidence(rows: str, by: str) -> tuple[str, ...]:
+    """Drift and violations from bins, categories and ranges of the groups ``by`` of ``rows``."""
+    g = [b.strip() for b in by.split(",")]
+    on = " AND ".join(f"c.{b} = g.{b}" for b in g)
+    return (
+        windows(rows, "cw"), long_num("cw", "lw", by), psi_shared("lr", "lw", by), cat_stats("ref", "cw", by, "event_type"),
+        f"nc AS (SELECT {by}, count(*) AS n_cur FROM cw GROUP BY ALL)",
+        f"""nb AS (SELECT {", ".join("g." + b for b in g)}, g.feature, coalesce(r.n, 0)::DOUBLE AS o1, coalesce(c.n, 0)::DOUBLE AS o2, t.n::DOUBLE AS n1, g.m::DOUBLE AS n2
+  FROM psi_g g JOIN psi_b b ON g.feature = b.feature JOIN psi_t t ON g.feature = t.feature LEFT JOIN psi_r r ON r.feature = b.feature AND r.bin = b.bin
+  LEFT JOIN psi_c c ON c.feature = b.feature AND c.bin = b.bin AND {on} WHERE coalesce(r.n, 0) + coalesce(c.n, 0) > 0)""",
+        f"""nx AS (SELECT {by}, feature, count(*) - 1 AS dof, sum(power(o1 - (o1 + o2) * n1 / (n1 + n2), 2) / ((o1 + o2) * n1 / (n1 + n2))
+  + power(o2 - (o1 + o2) * n2 / (n1 + n2), 2) / ((o1 + o2) * n2 / (n1 + n2))) AS chi2 FROM nb GROUP BY ALL)""",
+        f"""rep AS (SELECT {by}, feature, effect, effect > 0.02 AND chi2 > {critical("dof")} AS drift FROM (
+  SELECT {by}, feature, psi AS effect, m, chi2, dof FROM psi JOIN nx USING ({by}, feature)
+  UNION ALL SELECT {by}, 'event_type', js * 2.5, m, chi2, c - 1 FROM cat) JOIN nc USING ({by}) WHERE n_cur >= 200 AND m >= 20)""",
+        f"summ AS (SELECT {by}, n_cur, count(*) FILTER (drift) AS n_drift, max(effect) AS effect_max FROM nc LEFT JOIN rep USING ({by}) GROUP BY ALL)",
+        f"""vi AS (SELECT {by}, feature, avg(CASE WHEN v < 0 OR v > CASE feature WHEN 'value' THEN 200 ELSE 94 END THEN 1.0 ELSE 0.0 END) AS fraction FROM lw GROUP BY ALL)""",
+        f"wv AS (SELECT {by}, max(fraction) AS worst_fraction FROM vi WHERE fraction > 0.10 GROUP BY ALL)",
+        scored(rows, "sc"), windows("sc", "sw"), score_groups("sw", W, "ga"), score_groups("sw", SW, "sa"),
+    )
+
+
+AUCS = """CASE WHEN ga.n_pos >= 8 AND ga.n_pos < ga.n THEN round(ga.auc, 5) END AS auc_global,
+  CASE WHEN sa.n > 50 AND sa.n_pos >= 8 AND sa.n_pos < sa.n THEN round(sa.auc, 5) END AS auc_segment, CAST(NULL AS DOUBLE) AS gain"""
+ORACLES["stream_decisions"] = REC + ",\n".join([EV, REF, PLANTED, LR, *counted_evidence("pl", W),
+    f"""wx AS (SELECT sa.seg, summ.{W} AS win, n_cur AS n_rows, n_drift, effect_max, worst_fraction, {AUCS}
+  FROM summ LEFT JOIN wv USING ({W}) JOIN ga USING ({W}) JOIN sa USING ({W}))""", cascade("wx", "win")]) + (
+    f"\nSELECT seg, axis AS {W}, n_rows, CAST(code AS BIGINT) AS exit_code, cause, reason FROM al JOIN (SELECT seg, win AS axis, n_rows FROM wx) USING (seg, axis)"
+)
+ORACLES["stream_late_windows"] = REC + ",\n".join([EV, REF, PLANTED, LR,
+    "sent AS (SELECT * FROM pl WHERE day > 15 AND NOT (seg = 1 AND day BETWEEN 20 AND 23))", "late AS (SELECT * FROM sent WHERE day = 18 AND event_id % 7 = 3)",
+    "intime AS (SELECT * FROM sent WHERE NOT (day = 18 AND event_id % 7 = 3))", *counted_evidence("intime", SW),
+    f"""grid AS (SELECT seg, w AS {W} FROM (SELECT DISTINCT seg FROM sent UNION ALL SELECT 9), range(18, 31) t(w))""",
+    f"""wx AS (SELECT grid.seg, grid.{W} AS win, coalesce(n_cur, 0) AS n_rows, coalesce(n_drift, 0) AS n_drift, effect_max, worst_fraction, {AUCS}
+  FROM grid LEFT JOIN summ USING ({SW}) LEFT JOIN wv USING ({SW}) LEFT JOIN ga USING ({W}) LEFT JOIN sa USING ({SW}))""", cascade("wx", "win")]) + (
+    f"""\nSELECT seg, axis AS {W}, n_rows, CAST(code AS BIGINT) AS exit_code, cause, reason, CAST(NULL AS BIGINT) AS n_late
+FROM al JOIN (SELECT seg, win AS axis, n_rows FROM wx) USING (seg, axis)
+UNION ALL SELECT seg, day, NULL, NULL, NULL, NULL, count(*) FROM late GROUP BY seg, day UNION ALL SELECT NULL, day, NULL, NULL, NULL, NULL, count(*) FROM late GROUP BY day"""
+)
