@@ -8,6 +8,7 @@ line and ``lineitem`` for wide process data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -1091,11 +1092,49 @@ def stream_late_windows(spark, d):
     return out.select(F.col("segment").cast("bigint").alias("seg"), "window", "n_rows", long("exit_code"), "cause", "reason", "n_late")
 
 
+def collapsing(spark: SparkSession, d: str) -> DataFrame:
+    """Events with a sure score on the right side of 0.5, until day 20: then segment 2's
+    scores keep their side and lose their confidence, and segment 1's turn wrong."""
+    hour = F.col("day") * 24 + F.hour("ts")
+    rows = events(spark, d).withColumn("hour", hour).withColumn("y", F.when(F.col("event_type") == "error", 1).otherwise(0))
+    sure = (F.lit(0.30) + (F.col("event_id") * 7919) % 1000 / 1000.0 * 0.15) * F.when((F.col("day") >= 20) & (F.col("seg") == 2), 0.1).otherwise(1.0)
+    side = F.when(F.col("y") == 1, 1).otherwise(-1) * F.when((F.col("day") >= 20) & (F.col("seg") == 1), -1).otherwise(1)
+    return rows.withColumn("p", F.lit(0.5) + side * sure)
+
+
+def sequential_signals() -> dict[str, tuple[Column, float]]:
+    """The two signals of a scored row with their ranges: a wrong label, and how wrong its score was."""
+    wrong = F.when(F.col("p").isNotNull() & F.col("y").isNotNull(), ((F.col("p") >= 0.5) != (F.col("y") == 1)).cast("double"))
+    return {"error": (wrong, 1.0), "logloss": (metrics.log_loss_signal(), -math.log(metrics.CLIP))}
+
+
 @query
 def adwin(spark, d):
-    from tidegauge.streaming.adwin import change_points
+    from tidegauge.streaming.adwin import signal_changes
 
-    rows = planted(spark, d).withColumn("hour", F.col("day") * 24 + F.hour("ts")).withColumn("signal", F.col("value"))
-    return change_points(rows, ["seg"], "hour", "signal")
+    return signal_changes(collapsing(spark, d), ["seg"], "hour", sequential_signals())
 
 
+@query
+def stream_adwin(spark, d):
+    """The same change points from a stream, a file of ten days a micro-batch."""
+    from tidegauge.streaming.adwin import change_stream
+    from tidegauge.streaming.guards import state_store
+
+    rows = collapsing(spark, d)
+    columns = ["ts", "seg", "y", "p"]
+    source, sink = scratch_path(spark, "sent"), scratch_path(spark, "changes")
+    for first in range(1, 31, 10):
+        rows.where(F.col("day").between(first, first + 9)).select(*columns).coalesce(1).write.mode("append").parquet(source)
+    kinds = {f.name: f.dataType for f in rows.schema}
+    last = F.date_add(F.lit(ORIGIN).cast("date"), 40).cast("timestamp").cast(kinds["ts"]).alias("ts")
+    rows.limit(1).select(last, *[F.lit(None).cast(kinds[c]).alias(c) for c in columns[1:]]).coalesce(1).write.mode("append").parquet(source)
+    with state_store(spark, partitions=4):
+        stream = spark.readStream.schema(rows.select(*columns).schema).option("maxFilesPerTrigger", 1).parquet(source)
+        changes = change_stream(stream, ["seg"], "ts", sequential_signals(), origin_hour=ORIGIN_DAY * 24)
+        q = (
+            changes.writeStream.outputMode("append").format("parquet").option("path", sink)
+            .option("checkpointLocation", sink + "_checkpoint").trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+    return spark.read.schema("seg bigint, signal string, hour bigint").parquet(sink)
