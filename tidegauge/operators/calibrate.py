@@ -21,6 +21,7 @@ from tidegauge.operators.cumulative import (
     thin,
 )
 from tidegauge.operators.distance import paired_effects, paired_psi
+from tidegauge.operators.splits import split_effects
 from tidegauge.session import metadata_table, small_rows
 from tidegauge.types import MIN_VALUES, MonitorSpec
 
@@ -70,10 +71,10 @@ def random_split_effects(
 ) -> DataFrame:
     """``rep, feature, kind, n0, n1, effect`` for every repetition in one job.
 
-    The repetition is a grouping key. Sides come from an integer hash of (key, rep),
-    so halves are near-equal rather than exactly equal. With ``cells`` the values are
-    first snapped to a grid: the expansion by repetitions then never leaves the map
-    side, which is the mode for very large references.
+    All repetitions are counted together, one row per distinct value (``splits.py``).
+    Sides come from an integer hash of (key, rep), so halves are near-equal rather than
+    exactly equal. With ``cells`` the values are first snapped to a grid: counts are then
+    bounded by columns x cells, which is the mode for very large references.
     """
     rows = reference
     if cells:
@@ -81,13 +82,9 @@ def random_split_effects(
         splits = {f: Cuts() for f in spec.num}
     else:
         splits = finite_cuts(sizes or sketch_features(reference, spec.num, rows_per_bucket=rows_per_bucket))
-    keep = [c for c in rows.columns if c == key or c in spec.num or c in spec.cat]
-    samples = (
-        rows.select(*keep)
-        .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))))
-        .withColumn("side", stats.split_side(key, "rep", fraction, seed))
+    return split_effects(
+        rows, spec.num, spec.cat, key, repetitions=repetitions, fraction=fraction, seed=seed, bins=spec.bins, splits=splits
     )
-    return paired_effects(samples, ["rep"], spec.num, spec.cat, bins=spec.bins, splits=splits)
 
 
 def random_floor(effects: DataFrame, *, quantile: float = 0.95) -> DataFrame:

@@ -39,7 +39,7 @@ from tidegauge.operators.windows import (
     presence_drift,
 )
 from tidegauge.plans.monitor import backfill, decide_next, decide_window, window_evidence
-from tidegauge.session import metadata_table, scratch_path
+from tidegauge.session import materialise, metadata_table, scratch_path
 from tidegauge.sources import io
 from tidegauge.sources.io import last_decision, read_window
 from tidegauge.types import Contract, GuardConfig, MonitorSpec, SlidingWindow
@@ -715,6 +715,33 @@ def champion_challenger(spark, d):
     return audit
 
 
+@query
+def published_model(spark, d):
+    """Six runs of the retraining job, then the late rows scored by the pointer."""
+    from tidegauge.plans import retrain as job
+
+    registry = scratch_path(spark, "registry")
+    rows = labelled_lines(spark, d)
+    early, mid = rows.where("l_shipdate < '1997-01-01'"), rows.where("l_shipdate >= '1997-01-01' and l_shipdate < '1999-01-01'")
+    late = rows.where("l_shipdate >= '1999-01-01'")
+    decided = materialise(decide(daily_evidence(spark, d), ["seg"], "day", GUARDS))
+    # the monitor's history up to its last retraining, and up to the window before it
+    said = decided.where("exit_code = 10").agg(F.max(F.struct("day", "seg")).alias("m")).select("m.*")
+    one_monitor = decided.join(said.select("seg", F.col("day").alias("until")), "seg").where("day <= until")
+    before = one_monitor.where("day < until and exit_code <> 10")
+    how = dict(axis="day", cat=MODEL_CAT, label="late")
+    job.retrain(early, mid, None, registry, num=("l_tax",), **how)  # nothing decided yet
+    job.retrain(early, mid, before, registry, num=("l_tax",), **how)  # the last decision does not authorise it
+    job.retrain(early, mid, one_monitor, registry, num=("l_tax",), **how)  # the first model
+    job.retrain(mid, late.where("late = 0"), one_monitor, registry, num=MODEL_NUM, **how)  # no positives to judge by
+    job.retrain(mid, late, one_monitor, registry, num=("l_discount",), **how)  # no better
+    job.retrain(mid, late, before, registry, num=MODEL_NUM, forced=True, **how)  # better, and forced
+    runs = job.attempts(spark, registry).groupBy("exit_code", "outcome", "forced", "champion_version", "version").agg(F.count(F.lit(1)).alias("n"))
+    used = job.score_published(late, registry).groupBy("model_version").agg(F.count("p").alias("n"))
+    scored_rows = used.select(F.lit(0).alias("exit_code"), F.lit("scored").alias("outcome"), F.lit(False).alias("forced"), F.lit(None).cast("bigint").alias("champion_version"), F.col("model_version").alias("version"), "n")
+    return runs.unionByName(scored_rows).select(long("exit_code"), "outcome", "forced", "champion_version", "version", "n")
+
+
 # --- guards ----------------------------------------------------------------
 def daily_evidence(spark: SparkSession, d: str) -> DataFrame:
     """Evidence per segment and day from plain daily aggregates of the events."""
