@@ -23,12 +23,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be found go."""
+    """Documents that are no text in one of the learned languages go."""
     return crossparse.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their fingerprints the one with the smallest id stays."""
+    """One document of each class of linked ones stays."""
     return simhash.representatives(docs)
 
 
