@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -80,8 +81,43 @@ def test_edge_rows(spark, edge, none):
     assert {r.lang_pred for r in cp.identify(edge.drop("lang").selectExpr("*", "cast(null as string) lang")).collect()} == {"und"}
     assert cp.identify(none).count() == 0
     kept = cp.accepted(edge)
-    assert kept.columns == edge.columns and kept.where("language <> 'own language'").count() == 0
-    assert kept.count() == sum(r.lang_pred != "und" for r in got)
+    assert kept.columns == edge.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert ids <= {r.doc_id for r in got if r.lang_pred != "und"} and not ids & {0, 3 * 6, 6}
+    assert cp.accepted(none).count() == 0 and cp.accepted(edge.drop("lang").selectExpr("*", "cast(null as string) lang")).count() == 0
+
+
+def test_only_text_of_learned_languages_stays(spark):
+    """Gibberish and languages without labels go, text of the learned ones stays, at every length."""
+    rng = random.Random(11)
+
+    def language(seed, letters):
+        own = random.Random(seed)
+        syllables = ["".join(own.choice(letters) for _ in range(2 + k % 3)) for k in range(30)]
+        return lambda n: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+    aa, bb, unnamed = language("a", "aeioutnrsl"), language("b", "aeioudkmpv"), language("c", "aeioutnrsl")
+
+    def gibberish(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    rows = [(i, (aa, bb)[i % 2](rng.randint(20, 300)), ("aa", "bb")[i % 2], None, None) for i in range(300)]
+    rows += [(1000 + i, (aa, bb)[i % 2](n), None, None, None) for i, n in enumerate([3, 8, 15, 40, 100, 400, 3000] * 6)]
+    rows += [(2000 + i, gibberish(n), None, None, None) for i, n in enumerate([60, 150, 400, 3000] * 6)]
+    rows += [(3000 + i, unnamed(n), None, None, None) for i, n in enumerate([150, 400, 3000] * 6)]
+    rows += [(None, aa(50), None, None, None), (None, gibberish(90), None, None, None), (1, bb(50), "aa", None, None)]
+    kept = [r.doc_id for r in cp.accepted(documents(spark, rows)).collect()]
+    assert Counter(kept) == Counter([r[0] for r in rows if r[0] is not None and r[0] < 2000] + [None])
+
+
+def test_bounds_grow_by_one_law():
+    samples = {"aa": " ".join(prose(i, 80, LETTERS["aa"]) for i in range(60))}
+    known, bounds = cp.build(samples), cp.bounds_of(samples)
+    n = np.arange(1, 2000)
+    most = bounds.phrases(n)[:, 0]
+    assert (np.diff(most) > 0).all() and np.isclose(most[-1], 1.5 * bounds.rate[0] * 1999 + 6 * bounds.spread[0] * 1999**0.5 + 6)
+    assert known.known([prose(i, 200, LETTERS["aa"]) for i in range(500, 520)] + [None, "", "12 !"], bounds) == [True] * 20 + [False] * 3
+    assert cp.build({}).known(["a", None], cp.bounds_of({})) == [False, False]
 
 
 def test_languages_with_long_texts_are_learned(spark):

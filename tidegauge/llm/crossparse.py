@@ -26,12 +26,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import spare
 
 REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
 SYMBOLS = 64  # columns of a table: the space, frequent letters, letters that no reference has
 SLICE = 2048  # letters that one of many documents gives to a reference
+MARGIN, DEVIATIONS = 1.5, 6.0  # what a text of a language may take beyond its usual phrases
+PIECE = 500  # letters of a text that the usual number of phrases is learned from
 STRETCH = 1024
 TOGETHER = 1 << 21  # letters that are parsed in step, which bounds a task's memory
 UNKNOWN = "und"
@@ -125,15 +126,19 @@ class References:
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         return np.where(known[at] == key, to[at], fresh)
 
-    def parse(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases times bits for each text and language, and whether a text has a letter."""
+    def _symbols(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all texts, one behind the other, with runs of others than letters as one, and whose they are."""
         sizes = np.array([len(t) if t else 0 for t in texts], np.int64)
         points = code_points("".join(t for t in texts if t))
         symbols = self.symbol[points]
         owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         fresh = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
         kept = (symbols != 0) | np.r_[True, symbols[:-1] != 0] | fresh if len(owner) else fresh
-        symbols, owner = symbols[kept], owner[kept]
+        return symbols[kept], owner[kept]
+
+    def parse(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases times bits for each text and language, and whether a text has a letter."""
+        symbols, owner = self._symbols(texts)
         letters = np.bincount(owner[symbols > 0], minlength=len(texts)) > 0
         n = np.bincount(owner, minlength=len(texts))
         # stretches: (first letter, length), longest first, so that those still going stand in front
@@ -174,6 +179,16 @@ class References:
                 group, held = [], 0
         return out + self._predict(group) if group else out
 
+    def known(self, texts: list[str | None], bounds: Bounds) -> list[bool]:
+        """Whether each text is within the bound of the language that wins."""
+        cost, letters = self.parse(texts)
+        if not self.languages:
+            return [False] * len(texts)
+        best = cost.argmin(1)
+        n = np.bincount(self._symbols(texts)[1], minlength=len(texts))
+        phrases = cost[np.arange(len(texts)), best] / self.bits[best]
+        return (letters & (phrases <= bounds.phrases(n)[np.arange(len(texts)), best])).tolist()
+
     def _predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The score is how much less the winner costs than the next."""
         cost, letters = self.parse(texts)
@@ -188,6 +203,39 @@ class References:
         return out
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """Phrases that texts of each language take per symbol, from texts that were not in the reference."""
+
+    rate: np.ndarray
+    spread: np.ndarray  # root mean square of the deviation, for one symbol
+
+    def phrases(self, symbols: np.ndarray) -> np.ndarray:
+        """The most phrases (text, language) of a text in that language: one law for all lengths."""
+        n = symbols[:, None].astype(float)
+        return MARGIN * self.rate * n + DEVIATIONS * self.spread * np.sqrt(n) + DEVIATIONS
+
+
+def bounds_of(samples: dict[str, str]) -> Bounds:
+    """Every second piece of the samples, parsed with references from the other pieces."""
+    halves = {}
+    for name, text in samples.items():
+        pieces = [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
+        halves[name] = ("".join(pieces[0::2]), pieces[1::2] or pieces)
+    known = build({name: reference for name, (reference, _) in halves.items()})
+    rate, spread = np.ones(len(known.languages)), np.zeros(len(known.languages))
+    for k, name in enumerate(known.languages):
+        probes = halves[name][1]
+        cost, letters = known.parse(probes)
+        n = np.bincount(known._symbols(probes)[1], minlength=len(probes))
+        used = letters & (n > 0)
+        if used.any():
+            phrases = cost[used, k] / known.bits[k]
+            rate[k] = phrases.sum() / n[used].sum()
+            spread[k] = np.sqrt(np.mean((phrases - rate[k] * n[used]) ** 2 / n[used]))
+    return Bounds(rate, spread)
+
+
 def build(samples: dict[str, str]) -> References:
     """Automata of the languages' sample texts, in the order of their names."""
     letters = letter_table()
@@ -232,7 +280,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(documents: DataFrame) -> References:
-    """References from a bounded sample of labelled documents that are not held out.
+    """References from a bounded sample of labelled documents that are not held out."""
+    return build(sampled(documents))
+
+
+def sampled(documents: DataFrame) -> dict[str, str]:
+    """Texts of each language from a bounded sample of labelled documents that are not held out.
 
     A document gives at most a slice of its text, from a place that depends on a hash,
     so that a reference comes from many documents where there are many. How many letters
@@ -264,7 +317,7 @@ def learn(documents: DataFrame) -> References:
     samples: dict[str, list[str]] = {}
     for r in rows:
         samples.setdefault(r["lang"], []).append(r["text"])
-    return build({name: "\n".join(texts) for name, texts in samples.items()})
+    return {name: "\n".join(texts) for name, texts in samples.items()}
 
 
 def predicted(documents: DataFrame, references: References, out: str = "_language") -> DataFrame:
@@ -294,7 +347,29 @@ def identify(documents: DataFrame) -> DataFrame:
 
 
 def accepted(documents: DataFrame) -> DataFrame:
-    """The documents whose language is known, with their columns."""
-    language = spare(documents, "language")
-    rows = predicted(documents, learn(documents), language)
-    return rows.where(F.col(language)["lang_pred"] != UNKNOWN).drop(language)
+    """The documents that are text in one of the learned languages, with their columns.
+
+    A document stays if the winner parses it into no more phrases than texts of that
+    language take: ``MARGIN`` times their rate, and ``DEVIATIONS`` of the spread that
+    lengths like its own have. Gibberish and languages that no label names take more.
+    Without a letter, with a NULL text, or when nothing can be learned it goes; very short
+    texts are within any spread and stay. Repeated rows and rows without an id are judged
+    by their texts alone.
+    """
+    samples = sampled(documents)
+    shared = documents.sparkSession.sparkContext.broadcast((build(samples), bounds_of(samples)))
+
+    @F.pandas_udf("boolean")
+    def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        references, bounds = shared.value
+        for series in texts:
+            said, group, held = [], [], 0
+            for text in series:
+                group.append(text)
+                held += len(text) if text else 0
+                if held >= TOGETHER:
+                    said += references.known(group, bounds)
+                    group, held = [], 0
+            yield pd.Series(said + (references.known(group, bounds) if group else []), dtype=bool)
+
+    return documents.where(known(F.col("text")))
