@@ -284,7 +284,8 @@ def read(archives: DataFrame, with_data: bool = True, chunk: int = CHUNK) -> Dat
                         rows, held = [], 0
         yield out()
 
-    return archives.select("archive").repartition("archive").mapInArrow(parse, CHUNKS)
+    # one row per archive, each to a task of its own; a number that is asked for is not merged
+    return archives.select("archive").repartition(max(1, archives.count())).mapInArrow(parse, CHUNKS)
 
 
 def round_trip(pages: DataFrame, folder: str) -> DataFrame:
