@@ -691,3 +691,19 @@ ORACLES["stream_late_windows"] = REC + ",\n".join([EV, REF, PLANTED, LR,
 FROM al JOIN (SELECT seg, win AS axis, n_rows FROM wx) USING (seg, axis)
 UNION ALL SELECT seg, day, NULL, NULL, NULL, NULL, count(*) FROM late GROUP BY seg, day UNION ALL SELECT NULL, day, NULL, NULL, NULL, NULL, count(*) FROM late GROUP BY day"""
 )
+
+
+# Kendall's p-value: without ties from the permutations of n by their inversions, with ties from the normal tail as a power series.
+STEPS = ORACLES["wear_signal"].split("\nSELECT user_id, CAST(day")[0].removeprefix("WITH ")
+ORACLES["wear_guard"] = f"""WITH RECURSIVE nul AS (SELECT 1 AS n, [1.0::DOUBLE] AS k
+  UNION ALL SELECT n + 1, list_transform(range(0, CAST(n * (n + 1) / 2 AS BIGINT) + 1), lambda j: list_sum(k[CAST(greatest(j - n, 0) + 1 AS BIGINT):CAST(j + 1 AS BIGINT)])) FROM nul WHERE n < 8),
+{STEPS},
+e5 AS (SELECT *, least(c, pairs - c) AS lower, (c - d) / sqrt(pairs * (pairs - t)) AS tau, rise / spread AS max_rise,
+  (n * (n - 1) * (2 * n + 5) - list_sum(list_transform(list_distinct(l), lambda v: len(list_filter(l, lambda y: y = v)) * (len(list_filter(l, lambda y: y = v)) - 1) * (2 * len(list_filter(l, lambda y: y = v)) + 5)))) / 18.0 AS variance
+  FROM e4 WHERE n >= 2 AND t < pairs),
+e6 AS (SELECT *, abs(c - d) / sqrt(2 * variance) AS x FROM e5),
+e7 AS (SELECT user_id, n, tau, max_rise, CASE WHEN t = 0 THEN CASE WHEN 2 * lower = pairs THEN 1.0 ELSE least(1.0, 2 * list_sum(k[1:CAST(lower + 1 AS BIGINT)]) / gamma(n + 1)) END
+  ELSE 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda i: (CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END) * power(x, 2 * i + 1) / (gamma(i + 1) * (2 * i + 1)))) END AS p
+  FROM e6 JOIN nul USING (n)),
+u AS (SELECT DISTINCT user_id FROM events)
+SELECT user_id, count(*) FILTER (n >= 6 AND p < 0.05 AND tau >= 0.6 AND max_rise <= 0.5) AS n_wear, {r("min(p)", "lowest_p")} FROM u LEFT JOIN e7 USING (user_id) GROUP BY user_id"""
