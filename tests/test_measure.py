@@ -233,3 +233,28 @@ def test_bracketed_edges_equal_numpy(spark, table, pdf, rows_per_bucket, trust):
             if len(want) > 2:
                 want[0], want[-1] = -np.inf, np.inf
                 assert counts == list(np.histogram(x, want)[0])
+
+
+@pytest.mark.parametrize("shape", ["long tail", "two scales", "even"])
+def test_ranges_of_large_columns_are_even(spark, shape):
+    """More buckets than one sketch tells apart: each holds at most twice the mean, however values are spread."""
+    from tidegauge.functions.clean import with_buckets
+    from tidegauge.operators.cumulative import MAX_BUCKETS, sketch_features
+
+    rng = np.random.default_rng(2)
+    x = {"long tail": np.exp(rng.normal(0, 6, 60_000)), "even": rng.random(60_000)}.get(shape)
+    if x is None:
+        x = np.concatenate([rng.random(30_000) * 1e-9, rng.random(30_000) * 1e9])
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    n, cuts = sketch_features(df, ["x"], rows_per_bucket=20)["x"]
+    assert n == 60_000 and len(cuts) > 2 * MAX_BUCKETS and cuts.sub == 1 and list(cuts) == sorted(set(cuts))
+    held = [r["count"] for r in with_buckets(df, {"x": cuts}).groupBy("x__b").count().collect()]
+    assert sum(held) == 60_000 and max(held) <= 2 * 60_000 / (len(cuts) + 1)
+
+
+def test_a_repeated_value_is_not_divided(spark):
+    from tidegauge.operators.cumulative import sketch_features
+
+    df = spark.createDataFrame(pd.DataFrame({"x": np.r_[np.zeros(5000), np.arange(5000)]}))
+    n, cuts = sketch_features(df, ["x"], rows_per_bucket=2)["x"]
+    assert n == 10_000 and list(cuts) == sorted(set(cuts)) and len(cuts) > 1500

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clean import finite, long_numeric, quoted
+from tidegauge.functions.clean import finite, long_numeric, quoted, with_buckets
 from tidegauge.operators.joins import keyed_join
 from tidegauge.session import small_rows
 
@@ -57,11 +57,33 @@ def sketch_with(
     for i, f in enumerate(names):
         n, grid = row[f"n{i}"], row[f"p{i}"] or []
         cuts = thin(sorted(set(grid)), n, rows_per_bucket)
+        if cuts.sub > 1:
+            cuts = refined(df.select(columns[f"__v{i}"].alias("x")), sorted(set(grid)), rows_per_bucket)
         cuts.grid = grid
         out[f] = (n, cuts)
     return out, row
 
 
+def refined(values: DataFrame, grid: Sequence[float], rows_per_bucket: int) -> Cuts:
+    """Cut points for more buckets than one sketch can tell apart: a sketch within each of its ranges.
+
+    Ranges are halved by counts, not by widths, so that a long tail makes no heavy
+    bucket; each gets as many parts as its own count calls for. One more pass, which
+    returns a row per range; a value that repeats is never divided.
+    """
+    placed = with_buckets(values.where("x is not null"), {"x": grid})
+    per_range = placed.groupBy("x__b").agg(F.count(F.lit(1)).alias("n"))
+    most = per_range.agg(F.max("n")).first()[0] or 0
+    parts = max(2, -(-most // rows_per_bucket))
+    points = ", ".join(f"{k / parts!r}D" for k in range(1, parts))
+    sketched = placed.groupBy("x__b").agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_percentile(x, array({points}), {max(SKETCH_ACCURACY, 10 * parts)})").alias("p"))
+    found = set(grid)
+    for row in small_rows(sketched, MAX_BUCKETS + 2):
+        own = -(-row["n"] // rows_per_bucket)  # parts of this range
+        found |= {row["p"][min(parts - 2, max(0, round(k * parts / own) - 1))] for k in range(1, own)}
+    return Cuts(sorted(found))
+
+
 class Cuts(list):
     """Sorted cut points; ``sub`` equal-width parts between neighbours when many buckets are needed."""
 
@@ -71,7 +93,7 @@ class Cuts(list):
 
 
 def thin(grid: Sequence[float], n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> Cuts:
-    """Keep as many cut points as the row count calls for, or subdivide between them."""
+    """Keep as many cut points as the row count calls for, or say into how many parts each range is to be cut."""
     wanted = -(-n // rows_per_bucket)
     if wanted <= 1 or not grid:
         return Cuts()
