@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import stats
@@ -966,9 +966,9 @@ def contract_round_trip(spark, d):
 
 @query
 def undated_last(spark, d):
-    first = prepare.in_time_order(meta(spark, d)).limit(500)
-    place = F.row_number().over(Window.orderBy(F.col("t_min").asc_nulls_last(), "Id"))
-    return first.select(place.cast("bigint").alias("place"), "Id", r6(F.col("t_min").cast("double")).alias("t_min"))
+    """All undated rows, with their places behind all others."""
+    out = prepare.numbered_in_time_order(meta(spark, d).select("Id", "t_min")).where("t_min IS NULL")
+    return out.select(long("place"), "Id", r6(F.col("t_min").cast("double")).alias("t_min"))
 
 
 @query

@@ -308,7 +308,7 @@ ORACLES["wide_csv_round_trip"] = with_(DATE_CTE) + " UNION ALL ".join(
 ORACLES["results_round_trip"] = with_(EV) + """SELECT f AS format, CAST(day AS BIGINT) AS day, count(*) AS n FROM ev, (VALUES ('csv'), ('json')) t(f) GROUP BY ALL"""
 ORACLES["contract_round_trip"] = with_(EV, REF) + f"""SELECT f.feature, {r(f"{dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "floor", 9)},
 {r(f"3 * {dbl(Q2)} * (1.0 / (count(*) // 2) + 1.0 / (count(*) - count(*) // 2))", "threshold", 9)}, CAST(10 AS BIGINT) AS bins, CAST(3 AS BIGINT) AS k, CAST(5 AS BIGINT) AS n FROM ref, (VALUES ('value'), ('k')) f(feature) GROUP BY 1"""
-ORACLES["undated_last"] = with_(DATE_CTE, META) + f"""SELECT row_number() OVER (ORDER BY t_min NULLS LAST, Id) AS place, Id, {r("t_min::DOUBLE", "t_min")} FROM meta ORDER BY t_min NULLS LAST, Id LIMIT 500"""
+ORACLES["undated_last"] = with_(DATE_CTE, META, "pl AS (SELECT row_number() OVER (ORDER BY t_min NULLS LAST, Id) AS place, Id, t_min FROM meta)") + f"""SELECT place, Id, {r("t_min::DOUBLE", "t_min")} FROM pl WHERE t_min IS NULL"""
 ORACLES["time_order_places"] = with_(DATE_CTE, META) + f"""SELECT row_number() OVER (ORDER BY t_min NULLS LAST, Id) AS place, Id, {r("t_min::DOUBLE", "t_min")} FROM meta"""
 ORACLES["weekly_rates"] = with_(DATE_CTE, META) + f"""SELECT week, count(*) AS n, {r("avg(Response)", "rate")}, {r("avg(n_stations)", "mean_stations")} FROM meta GROUP BY week"""
 ORACLES["presence_spread"] = with_(DATE_CTE, META) + ",\nsh AS (" + " UNION ALL ".join(
