@@ -1,8 +1,12 @@
+import math
+import struct
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+from tests.llm.rows import documents
 from tidegauge.llm import shard_tree
 
 
@@ -49,3 +53,27 @@ def test_edge_rows(edge, none):
     assert len({r.shard for r in rows if r.doc_id is None}) == 1
     assert {(r.size, r.text_crc32) for r in rows if r.doc_id == 0} == {(8, 0)}
     assert shard_tree.assign(none, 24).count() == 0
+
+
+def plain_shard(doc_id, node):
+    """The walk down the tree in plain Python: at every level the child with the earliest time wins."""
+    while node.children:
+        times = []
+        for i, child in enumerate(node.children):
+            seed = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+            u = ((xxhash.xxh64_intdigest(child.name.encode(), seed) >> 11) + 0.5) * 2.0**-53
+            times.append((-math.log(u) / child.weight, i))
+        node = node.children[min(times)[1]] if len(times) > 1 else node.children[0]
+    return node.shard
+
+
+def test_as_a_plain_walk_says(spark, edge):
+    rows = [(i * i * 7919 - 5, "x" * (i % 50), None, None, None) for i in range(3000)]
+    for df, shards, weights in ((documents(spark, rows), 24, None), (documents(spark, rows), 7, {0: 5.0, 6: 0.25}), (edge, 24, None)):
+        got = shard_tree.assign(df, shards, weights).collect()
+        now, grown = shard_tree.tree_of(shards, weights), shard_tree.tree_of(shards + 1, weights)
+        slots = {}
+        for r in got:
+            assert (r.shard, r.grown_shard) == (plain_shard(r.doc_id, now), plain_shard(r.doc_id, grown))
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(got) == df.count()
