@@ -115,7 +115,7 @@ def test_bounds_grow_by_one_law():
     known, bounds = cp.build(samples), cp.bounds_of(samples)
     n = np.arange(1, 2000)
     most = bounds.phrases(n)[:, 0]
-    assert (np.diff(most) > 0).all() and np.isclose(most[-1], 1.5 * bounds.rate[0] * 1999 + 6 * bounds.spread[0] * 1999**0.5 + 6)
+    assert (np.diff(most) > 0).all() and np.isclose(most[-1], cp.MARGIN * bounds.rate[0] * 1999 + cp.DEVIATIONS * bounds.spread[0] * 1999**0.5 + cp.DEVIATIONS)
     assert known.known([prose(i, 200, LETTERS["aa"]) for i in range(500, 520)] + [None, "", "12 !"], bounds) == [True] * 20 + [False] * 3
     assert cp.build({}).known(["a", None], cp.bounds_of({})) == [False, False]
 

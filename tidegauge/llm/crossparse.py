@@ -31,7 +31,7 @@ REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
 SYMBOLS = 64  # columns of a table: the space, frequent letters, letters that no reference has
 SLICE = 2048  # letters that one of many documents gives to a reference
-MARGIN, DEVIATIONS = 1.5, 6.0  # what a text of a language may take beyond its usual phrases
+MARGIN, DEVIATIONS = 2.0, 6.0  # what a text of a language may take beyond its usual phrases
 PIECE = 500  # letters of a text that the usual number of phrases is learned from
 STRETCH = 1024
 TOGETHER = 1 << 21  # letters that are parsed in step, which bounds a task's memory
