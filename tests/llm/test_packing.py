@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.rows import documents, prose
-from tidegauge.llm import packing
+from tidegauge.llm import packing, simhash
 from tidegauge.llm.common import vocabulary
 
 VOCABULARY = vocabulary("word_bpe_49k.json")
@@ -54,6 +54,14 @@ def check(tokenizer, rows, got, window=2048):
     return [sum(p[1] for p in places) for places in by.values()]
 
 
+def test_other_tasks_do_not_carry_the_words_along():
+    kept = packing.word_ids(VOCABULARY)
+    assert kept[b"word"] and packing.word_ids(VOCABULARY) is kept
+    assert not list(simhash._group_links(iter([])))  # a task of another stage in the same worker process
+    fresh = packing.word_ids(VOCABULARY)
+    assert fresh is not kept and not fresh and fresh[b"word"] == kept[b"word"]
+
+
 def test_round_trip_with_little_padding(spark, tokenizer):
     rows = [(i, prose(i, 5 + (i * 37) % 700), None, None, None) for i in range(300)]
     special = ["<|endoftext|>", "one<|startoftext|>two", "a <|endoftext|> b", "<|startoftext|> c<|endoftext|>"]

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Sequence
+from types import ModuleType
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.session import materialise
 
-__all__ = ["BLANKS", "as_text", "count_words", "materialise", "number_within", "spare", "table", "uniform", "vocabulary"]
+__all__ = ["BLANKS", "as_text", "count_words", "give_back", "materialise", "number_within", "settle", "spare", "table", "uniform", "vocabulary"]
 
 # The white space of every operator here: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"\x20\x09-\x0D"
@@ -26,6 +31,27 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system; the allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
+def settle(keep: str | None = None) -> dict[str, Any]:
+    """What this worker process keeps for tasks of the kind ``keep``; what other kinds left in it goes.
+
+    Later stages run in the same worker processes, so that a cache of one stage would lie
+    beside all that the others need.
+    """
+    held = sys.modules.setdefault("tidegauge_worker", ModuleType("tidegauge_worker")).__dict__.setdefault("held", {})
+    for kind in held.keys() - {keep}:
+        del held[kind]
+    give_back()
+    return {} if keep is None else held.setdefault(keep, {})
+
+
 def spare(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have yet."""
     taken = {c.lower() for c in df.columns}

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import settle
 
 REFERENCE_CHARS = 24_000
 SAMPLE_TIMES = 3  # sampled documents hold about so many times the letters needed
@@ -327,6 +328,7 @@ def predicted(documents: DataFrame, references: References, out: str = "_languag
 
     @F.pandas_udf("lang_pred string, score double")
     def parse(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        settle()
         known = shared.value
         for series in texts:
             yield pd.DataFrame(known.predict(list(series)), columns=["lang_pred", "score"])
@@ -361,6 +363,7 @@ def accepted(documents: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        settle()
         references, bounds = shared.value
         for series in texts:
             said, group, held = [], [], 0

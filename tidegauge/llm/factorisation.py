@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import spare
+from tidegauge.llm.common import settle, spare
 
 BUCKETS = 1 << 15
 RANK = 8
@@ -214,6 +214,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     sample = marked.where(chosen)
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        settle()
         buckets = Buckets()
         for rows in batches:
             found = [features(t, buckets) for t in rows["text"]]
@@ -241,6 +242,7 @@ def scored(documents: DataFrame, model: Model, out: str = "score") -> DataFrame:
 
     @F.pandas_udf("double")
     def probability(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        settle()
         buckets, known = Buckets(), shared.value
         for series in texts:
             yield pd.Series([known.score(*features(t, buckets)) for t in series], dtype="float64")

@@ -15,18 +15,16 @@ takes the k-th place that the plan has for its length.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialise, number_within
+from tidegauge.llm.common import give_back, materialise, number_within, settle
 from tidegauge.session import metadata_table
 
 WINDOW = 2048
@@ -103,8 +101,8 @@ class WordIds(dict):
 
 
 def word_ids(vocabulary: str) -> WordIds:
-    """The ids of words, kept by the worker process for the tasks that follow on it."""
-    kept = sys.modules.setdefault("tidegauge_worker_words", ModuleType("tidegauge_worker_words")).__dict__
+    """The ids of words, kept by the worker process for the tasks that follow on it until one of another kind settles there."""
+    kept = settle("words")
     if vocabulary not in kept:
         kept[vocabulary] = WordIds(vocabulary)
     return kept[vocabulary]
@@ -126,6 +124,7 @@ def pieces(documents: DataFrame, vocabulary: str, window: int = WINDOW) -> DataF
                     rows.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4))
             columns = zip(*rows) if rows else [[]] * 5
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=schema)
+            give_back()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
@@ -231,6 +230,7 @@ def pack(documents: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFra
     numbered = number_within(dealt, ["length"], [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], bucket, "number").drop("n")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         span = int(table[:, 1].max(initial=0)) + 1
         starts = table[:, 0] * span + table[:, 1]
         for batch in batches:

@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import settle
+
 WIDTH = 5
 ALIKE = 0.8
 BANDS = 20
@@ -108,6 +110,7 @@ def _links_of(members: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int]
 
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links of the groups of one partition, sorted by key; a group may span batches."""
+    settle()
     known, key, members = Words(), None, []
 
     def found() -> pd.DataFrame:

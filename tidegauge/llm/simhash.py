@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm import shingles
-from tidegauge.llm.common import materialise, spare
+from tidegauge.llm.common import materialise, settle, spare
 
 RADIUS = 2
 SHINGLE = 3
@@ -157,6 +157,7 @@ def _group_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         moved = label != np.arange(len(rows))
         return pd.DataFrame({"a": signed[by_value][moved], "b": signed[by_value][label[moved]]})
 
+    settle()
     keys, rest = ["combo", "key", "sub", "subkey"], None
     for batch in batches:
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
@@ -242,6 +243,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def _fingerprint_and_bands(text: Column) -> Column:
     @F.pandas_udf("fp long, bands array<long>")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        settle()
         known = shingles.Words()
         for texts in batches:
             bands = [shingles.keys(shingles.shingles(t, known)) for t in texts]
