@@ -139,6 +139,22 @@ def test_model_details(spark, tmp_path):
         m.train(df.where("y = 0"), num=("x",), label="y")
 
 
+def test_held_out_rows_are_scored_once_by_each_model(spark):
+    from tidegauge.operators import model as m
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(400).select("id", (F.col("id") % 37 / 37.0).alias("x"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    champion = m.train(rows, num=("x",), label="y")
+    holdout = rows.withColumn("x", F.udf(counted, "double").asNondeterministic()("x"))
+    audit, _ = m.champion_challenger(rows, holdout, num=("x",), label="y", champion=champion)
+    assert audit.first()["gain"] == 0 and seen.value == 2 * 400
+
+
 def test_champion_challenger(spark):
     rng = np.random.default_rng(9)
     n = 2000

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.clean import finite, quoted
 from tidegauge.operators.metrics import performance
+from tidegauge.session import scratch_path
 from tidegauge.types import BLOCK, INSUFFICIENT, NOTHING
 
 MEDIAN_ACCURACY = 10_000
@@ -151,7 +152,10 @@ def champion_challenger(
         return spark.createDataFrame([(NOTHING, "promoted: no champion", None, None, None, forced)], schema), challenger
 
     def average_precision(model: TrainedModel) -> float | None:
-        return performance(model.score(holdout), label=label, score="p").first()["pr_auc"]
+        # performance reads the scores several times: rows are scored once, and kept as two columns
+        path = scratch_path(spark, "scored")
+        model.score(holdout).select(F.col(label).cast("int").alias("y"), "p").write.parquet(path)
+        return performance(spark.read.parquet(path), label="y", score="p").first()["pr_auc"]
 
     new, old = average_precision(challenger), average_precision(champion)
     if new is None or old is None:
